@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagequarry.functions.binding import let
+
 NESTING = 6
 
 
@@ -74,12 +76,12 @@ def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Colu
     """``text`` without the closed regions."""
     closed = region.nested(region.starter, nesting)
     # A starter with no closed region behind it keeps the rest of the text.
-    quick = F.regexp_replace(text, f"(?s){closed}|({quoted(region.starter)}.*+)", "$1")
-    return (
-        F.when(~text.contains(region.starter), text)
-        .when(~quick.contains(region.starter), quick)
-        .otherwise(fold_regions(text, region, nesting))
-    )
+    pattern = f"(?s){closed}|({quoted(region.starter)}.*+)"
+
+    def finish(whole: Column, quick: Column) -> Column:
+        return F.when(quick.contains(region.starter), fold_regions(whole, region, nesting)).otherwise(quick)
+
+    return let(text, lambda whole: let(F.regexp_replace(whole, pattern, "$1"), lambda quick: finish(whole, quick)))
 
 
 def fold_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagequarry.functions import balanced
+from pagequarry.functions.binding import let
 
 # Code points of Unicode white space, trimmed from both ends.
 WHITE_SPACE = "".join(
@@ -55,10 +56,8 @@ def remove_categories(text: Column) -> Column:
     white space at both ends. A leading colon protects a link."""
     for prefix in CATEGORY_PREFIXES:
         text = F.regexp_replace(text, rf"\[\[{prefix}:[^\[\]]++\]\]", "")
-    # \A lets the pattern match once only: the text before the key is put back.
-    first_key = r"(?s)\A(.*?)\{\{DEFAULTSORT:[^\n]+\}\}"
-    text = F.when(text.contains("{{DEFAULTSORT:"), F.regexp_replace(text, first_key, "$1")).otherwise(text)
-    return trim(text)
+    # Only the first key: the match takes the rest of the text with it.
+    return trim(F.regexp_replace(text, r"(?s)\{\{DEFAULTSORT:[^\n]+\}\}(.*+)", "$1"))
 
 
 def remove_plain_categories(text: Column) -> Column:
@@ -181,9 +180,10 @@ def has_person_data(text: Column) -> Column:
 def remove_person_data(text: Column) -> Column:
     """The first person-data template becomes its first six values; then the
     white space at both ends goes."""
-    record = rf"(?sU)\A(.*?){_PERSON_RECORD}"
-    values = F.regexp_replace(text, record, "$1$2 $3 $4 $5 $6 $7")
-    return trim(F.when(has_person_data(text), values).otherwise(text))
+    # Only the first record: the match takes the rest of the text with it.
+    record = rf"(?sU){_PERSON_RECORD}(.*+)"
+    values = "$1 $2 $3 $4 $5 $6$8"
+    return trim(let(text, lambda t: F.when(has_person_data(t), F.regexp_replace(t, record, values)).otherwise(t)))
 
 
 def person_field(text: Column, number: int) -> Column:

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.titles import normalize_title
 from pagequarry.operators.reach import reach
-from pagequarry.scale import broadcast_if_small, sorted_lists
-from pagequarry.session import cut_lineage
+from pagequarry.scale import Size, broadcast_if_small, literals, materialise, sorted_lists
 from pagequarry.wiki import Wiki
 
 
@@ -22,7 +21,7 @@ def stored_names(names: DataFrame) -> DataFrame:
 
 
 def named(wiki: Wiki, *names: str) -> DataFrame:
-    return stored_names(wiki.spark.createDataFrame([(n,) for n in names], "name string"))
+    return stored_names(literals(wiki.spark, list(names), "name"))
 
 
 def subcategory_links(wiki: Wiki) -> DataFrame:
@@ -45,29 +44,36 @@ def direct_subcategories(wiki: Wiki, names: DataFrame) -> DataFrame:
     return subcategory_links(wiki).join(broadcast_if_small(parents), "parent")
 
 
-def all_subcategories(wiki: Wiki, roots: DataFrame, links: DataFrame | None = None) -> DataFrame:
+def all_subcategories(wiki: Wiki, roots: DataFrame) -> DataFrame:
     """``(root, name, page_id, depth)``: everything below the roots.
 
     A root is in its own result only when a cycle leads back to it.
     """
-    links = cut_lineage(links if links is not None else subcategory_links(wiki))
-    start = stored_names(roots).select(F.col("name").alias("origin"), F.col("name").alias("node"))
-    steps = links.select(F.col("parent").alias("source"), F.col("name").alias("target"))
-    found = reach(steps, start).select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth")
-    pages = links.groupBy("name").agg(F.max("page_id").alias("page_id"))
+    found = _below(*materialise(_steps(wiki)), stored_names(roots))
+    pages = wiki.page.where(F.col("page_namespace") == wiki.category_namespace).select(
+        "page_id", F.col("page_title").alias("name")
+    )
     return found.join(pages, "name").select("root", "name", "page_id", "depth")
 
 
+def _steps(wiki: Wiki) -> DataFrame:
+    return subcategory_links(wiki).select(F.col("parent").alias("source"), F.col("name").alias("target"))
+
+
+def _below(steps: DataFrame, size: Size, roots: DataFrame) -> DataFrame:
+    start = roots.select(F.col("name").alias("origin"), F.col("name").alias("node"))
+    return reach(steps, start, size).select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth")
+
+
 def subcategory_edges(wiki: Wiki, root: str) -> DataFrame:
     """``(child, parent)``: every link met below the root, links to categories
     met before included."""
-    links = cut_lineage(subcategory_links(wiki))
+    steps, size = materialise(_steps(wiki))
     start = named(wiki, root)
-    inside = all_subcategories(wiki, start, links).select("name").unionByName(start).distinct()
-    parents = inside.withColumnRenamed("name", "parent")
-    return links.join(broadcast_if_small(parents), "parent", "left_semi").select(
-        F.col("name").alias("child"), "parent"
-    )
+    inside = _below(steps, size, start).select("name").unionByName(start).distinct()
+    parents = broadcast_if_small(inside.withColumnRenamed("name", "parent"))
+    edges = steps.select(F.col("target").alias("child"), F.col("source").alias("parent"))
+    return edges.join(parents, "parent", "left_semi").select("child", "parent")
 
 
 def category_pages(wiki: Wiki, names: DataFrame, namespace: int | None = None) -> DataFrame:
@@ -82,7 +88,7 @@ def category_pages(wiki: Wiki, names: DataFrame, namespace: int | None = None) -
     links = wiki.categorylinks.select(F.col("cl_from").alias("page_id"), F.col("cl_to").alias("category"))
     pages = wiki.page.where(F.col("page_namespace") == wanted).select("page_id")
     return (
-        links.join(broadcast_if_small(categories), "category", "left_semi")
+        links.join(broadcast_if_small(categories), "category")
         .join(pages, "page_id")
         .select("category", "page_id")
     )
@@ -102,7 +108,8 @@ def expand_categories(wiki: Wiki, names: DataFrame, subcategories: bool = True)
     given = stored_names(names)
     if not subcategories:
         return given
-    return given.unionByName(all_subcategories(wiki, names).select("name")).distinct()
+    below = _below(*materialise(_steps(wiki)), given).select("name")
+    return materialise(given.unionByName(below).distinct())[0]
 
 
 def expansion_report(wiki: Wiki, names: DataFrame) -> DataFrame:
@@ -142,7 +149,7 @@ def page_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> DataF
             .where(F.col("_n") >= min_members)
             .select("category")
         )
-        members = members.join(broadcast_if_small(enough), "category", "left_semi")
+        members = members.join(broadcast_if_small(enough), "category")
     return members
 
 

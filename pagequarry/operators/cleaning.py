@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.functions import markup
-from pagequarry.scale import spread
 
 Step = Callable[[Column], Column]
 
@@ -33,7 +32,8 @@ def clean_pages(pages: DataFrame, steps: Sequence[Step] = CORPUS_STEPS) -> DataF
     """``pages`` with its ``text`` cleaned and ``removed``, one entry per step:
     its name and how many characters it took away."""
     others = [c for c in pages.columns if c != "text"]
-    current = spread(pages).select(*others, "text", F.array().cast("array<struct<step:string,characters:bigint>>").alias("removed"))
+    nothing = F.array().cast("array<struct<step:string,characters:bigint>>")
+    current = pages.select(*others, "text", nothing.alias("removed"))
     for step in steps:
         current = current.withColumn("_next", step(F.col("text"))).select(
             *others,
@@ -55,7 +55,9 @@ def cleaning_report(cleaned: DataFrame) -> DataFrame:
     """``(step, pages, characters)``: pages a step changed the length of, and
     all characters it removed."""
     return (
-        cleaned.select(F.explode("removed").alias("r"))
+        # The outer form: an inner one would push a test of the array, and with
+        # it every step again, below the projections.
+        cleaned.select(F.explode_outer("removed").alias("r"))
         .groupBy(F.col("r.step").alias("step"))
         .agg(
             F.count_if(F.col("r.characters") != 0).alias("pages"),

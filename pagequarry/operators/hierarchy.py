@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions.titles import normalize_title
 from pagequarry.operators.categories import category_counts, named, subcategory_edges
 from pagequarry.operators.reach import reach
-from pagequarry.scale import sorted_lists
+from pagequarry.scale import literals, sorted_lists
 from pagequarry.session import cut_lineage
 from pagequarry.wiki import Wiki
 
@@ -52,7 +52,7 @@ def add_leaf_labels(edges: DataFrame, root: str) -> DataFrame:
         classify_vertices(edges)
         .where(F.col("kind") == "interior")
         .select("vertex")
-        .unionByName(edges.sparkSession.createDataFrame([(root,)], "vertex string"))
+        .unionByName(literals(edges.sparkSession, [root], "vertex"))
         .distinct()
     )
     labels = inner.select(F.concat("vertex", F.lit(LEAF)).alias("child"), F.col("vertex").alias("parent"))

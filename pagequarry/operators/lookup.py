@@ -12,20 +12,21 @@ from pagequarry.functions.titles import (
     normalize_title,
     without_template_prefix,
 )
-from pagequarry.scale import broadcast_if_small
+from pagequarry.scale import Size, broadcast_if_small
 from pagequarry.wiki import Wiki
 
 
-def latest_revisions(wiki: Wiki, page_ids: DataFrame | None = None) -> DataFrame:
+def latest_revisions(wiki: Wiki, page_ids: DataFrame | None = None, size: Size | None = None) -> DataFrame:
     """``(page_id, rev_id, text_id)`` of the greatest revision id of each page.
 
     The aggregate keeps one row per page before it shuffles, so a page with
-    very many revisions is no hot key.
+    very many revisions is no hot key. ``size`` is that of ``page_ids``, if it
+    was measured already.
     """
     revisions = wiki.revision.select("rev_page", "rev_id", "rev_text_id")
     if page_ids is not None:
         wanted = page_ids.select(F.col("page_id").alias("rev_page"))
-        revisions = revisions.join(broadcast_if_small(wanted), "rev_page", "left_semi")
+        revisions = revisions.join(broadcast_if_small(wanted, size), "rev_page", "left_semi")
     return revisions.groupBy(F.col("rev_page").alias("page_id")).agg(
         F.max("rev_id").alias("rev_id"), F.max_by("rev_text_id", "rev_id").alias("text_id")
     )
@@ -39,17 +40,17 @@ def decode_text(wiki: Wiki) -> DataFrame:
     return wiki.text.select("old_id", body.alias("text"))
 
 
-def latest_text(wiki: Wiki, page_ids: DataFrame | None = None) -> DataFrame:
+def latest_text(wiki: Wiki, page_ids: DataFrame | None = None, size: Size | None = None) -> DataFrame:
     """``(page_id, rev_id, text)`` of the latest revision of every page, or of
     the given pages. Pages without a text have no row."""
-    latest = latest_revisions(wiki, page_ids)
+    latest = latest_revisions(wiki, page_ids, size)
     return latest.join(decode_text(wiki), F.col("text_id") == F.col("old_id")).select("page_id", "rev_id", "text")
 
 
-def missing_pages(wiki: Wiki, page_ids: DataFrame) -> DataFrame:
+def missing_pages(wiki: Wiki, page_ids: DataFrame, size: Size | None = None) -> DataFrame:
     """The given pages that have no text. Bodies are not read for it."""
     stored = wiki.text.select(F.col("old_id").alias("text_id"))
-    found = latest_revisions(wiki, page_ids).join(stored, "text_id", "left_semi").select("page_id")
+    found = latest_revisions(wiki, page_ids, size).join(stored, "text_id", "left_semi").select("page_id")
     return page_ids.select("page_id").distinct().join(found, "page_id", "left_anti")
 
 

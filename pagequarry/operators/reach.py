@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.scale import broadcast_if_small, measure
-from pagequarry.session import cut_lineage
+from pagequarry.scale import Size, broadcast_if_small, materialise
 
 
-def reach(links: DataFrame, start: DataFrame) -> DataFrame:
+def reach(links: DataFrame, start: DataFrame, links_size: Size | None = None) -> DataFrame:
     """``(origin, node, depth)``: nodes reached over one link or more.
 
-    ``links`` is (source, target), ``start`` is (origin, node). Breadth first:
+    ``links`` is (source, target), ``start`` is (origin, node); ``links_size``
+    is given when the links are materialised already. Breadth first:
     a round extends only the pairs the last round found and drops pairs found
     before, so cycles end and every pair carries its shortest distance.
 
@@ -25,11 +25,11 @@ def reach(links: DataFrame, start: DataFrame) -> DataFrame:
     from everywhere is no hot key there, and a hot node that is extended is
     split by the adaptive skew join.
     """
-    links = cut_lineage(links)
-    links_size = measure(links)
+    if links_size is None:
+        links, links_size = materialise(links)
     rounds: list[DataFrame] = []
     rows = width = 0
-    frontier, size = start, measure(start)
+    frontier, size = materialise(start)
     while True:
         # The smaller side is the one to broadcast, if either fits.
         if size <= links_size:
@@ -41,8 +41,7 @@ def reach(links: DataFrame, start: DataFrame) -> DataFrame:
         if rounds:
             found = reduce(DataFrame.unionByName, [r.select("origin", "node") for r in rounds])
             fresh = fresh.join(broadcast_if_small(found, (rows, width)), ["origin", "node"], "left_anti")
-        fresh = cut_lineage(fresh.withColumn("depth", F.lit(len(rounds) + 1)))
-        size = measure(fresh)
+        fresh, size = materialise(fresh.withColumn("depth", F.lit(len(rounds) + 1)))
         if size[0] == 0:
             break
         rounds.append(fresh)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagequarry.operators.categories import category_set_pages
 from pagequarry.operators.cleaning import READER_STEPS, apply_steps
 from pagequarry.operators.lookup import latest_text, random_pages, resolve_titles
-from pagequarry.scale import spread
+from pagequarry.scale import literals, materialise
 from pagequarry.wiki import Wiki
 
 # Below this length a text is reported as very short, and the
@@ -33,11 +33,11 @@ def select_pages(
     if category is not None:
         return category_set_pages(wiki, category, recursive)
     if page_id is not None:
-        return spark.createDataFrame([(page_id,)], "page_id bigint")
+        return literals(spark, [page_id], "page_id").select(F.col("page_id").cast("bigint"))
     if random:
         return random_pages(wiki, 1, seed=seed)
     if title is not None:
-        asked = spark.createDataFrame([(title,)], "title string")
+        asked = literals(spark, [title], "title")
         return resolve_titles(wiki, asked).where(F.col("page_id").isNotNull()).select("page_id")
     raise ValueError("give a category, a page id, a title or random")
 
@@ -48,8 +48,9 @@ def get_articles(wiki: Wiki, show_id: bool = False, **wanted) -> DataFrame:
     pages = select_pages(wiki, **wanted)
     if show_id:
         return pages
-    texts = latest_text(wiki, pages).select("page_id", "text")
-    return spread(pages.join(texts, "page_id", "left")).select(
+    pages, size = materialise(pages)
+    texts = latest_text(wiki, pages, size).select("page_id", "text")
+    return pages.join(texts, "page_id", "left").select(
         "page_id", apply_steps(F.coalesce("text", F.lit("")), READER_STEPS).alias("text")
     )
 

@@ -16,7 +16,7 @@ from pagequarry.operators.categories import (
 )
 from pagequarry.operators.cleaning import CORPUS_STEPS, Step, apply_steps
 from pagequarry.operators.lookup import latest_text, missing_pages
-from pagequarry.scale import spread
+from pagequarry.scale import materialise
 from pagequarry.wiki import Wiki
 
 
@@ -48,10 +48,11 @@ def extract_corpus(
     cleaning runs behind it in the same stage.
     """
     names = categories if isinstance(categories, DataFrame) else named(wiki, *categories)
-    labels = page_categories(wiki, expand_categories(wiki, names, subcategories), min_members)
-    pages = labels.select("page_id").distinct()
-    articles = (
-        spread(latest_text(wiki, pages).where(F.col("text") != ""))
-        .select("page_id", apply_steps(F.col("text"), steps).alias("text"))
+    names = expand_categories(wiki, names, subcategories)
+    # Both feed several outputs and are ids and names only.
+    labels, _ = materialise(page_categories(wiki, names, min_members))
+    pages, size = materialise(labels.select("page_id").distinct())
+    articles = latest_text(wiki, pages, size).where(F.col("text") != "").select(
+        "page_id", apply_steps(F.col("text"), steps).alias("text")
     )
-    return Corpus(labels, articles, missing_pages(wiki, pages))
+    return Corpus(labels, articles, missing_pages(wiki, pages, size))

@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pagequarry.session import cut_lineage
+
 # A side is broadcast only after its rows and bytes were counted below these.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Rows and bytes of a DataFrame.
+Size = tuple[int, int]
+
 # Longest list a single row may carry; longer groups come out in several parts.
 LIST_ROWS = 100_000
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows of ``df`` and an upper estimate of their bytes, in one aggregate."""
+def size_metrics(df: DataFrame) -> list[Column]:
+    """Rows of ``df`` and an upper estimate of their bytes, as aggregates."""
     width = F.lit(0)
     for field in df.schema.fields:
         size = F.octet_length(field.name) if field.dataType.typeName() in ("string", "binary") else F.lit(8)
         width = width + F.coalesce(size, F.lit(0)) + F.lit(16)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return [F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")]
+
+
+def measure(df: DataFrame) -> Size:
+    row = df.agg(*size_metrics(df)).first()
     return row["n"], row["b"] or 0
 
 
-def fits_broadcast(size: tuple[int, int]) -> bool:
+def materialise(df: DataFrame) -> tuple[DataFrame, Size]:
+    """``df`` written to the shared folder, and its size, seen while writing."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, *size_metrics(df)))
+    return stored, (seen.get["n"], seen.get["b"] or 0)
+
+
+def fits_broadcast(size: Size) -> bool:
     rows, width = size
     return rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, size: Size | None = None) -> DataFrame:
     """Broadcast ``df`` when its measured size allows it.
 
     Otherwise ``df`` is returned as it is: the join is then a shuffled one and
@@ -38,10 +54,11 @@ def broadcast_if_small(df: DataFrame, size: tuple[int, int] | None = None) -> Da
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy map stage at least one partition per core.
+    """Give the work behind a plain scan at least one partition per core.
 
-    A table of many files is left alone; only an input with fewer splits than
-    cores (one small file) is redistributed.
+    ``df`` may only scan and project: counting the partitions of a plan with a
+    shuffle would run it. A scan of many splits is left alone; one of few (an
+    input that cannot be split) is redistributed.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -68,3 +85,8 @@ def sorted_lists(df: DataFrame, key: str, value: str, alias: str, max_rows: int
         )
         keyed = df.join(broadcast_if_small(hot), key, "left").select(key, value, part.alias("part"))
     return keyed.groupBy(key, "part").agg(F.array_sort(F.collect_set(value)).alias(alias))
+
+
+def literals(spark: SparkSession, values: list, name: str) -> DataFrame:
+    """A few values given by the caller, one row each, without a Python task."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias(name))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagequarry.scale import literals
 from pagequarry.schemas import NAMESPACES, RAW_PAGE, SITEINFO
 
 PAGE_END = "</page>"
@@ -81,7 +82,7 @@ def read_siteinfo(spark: SparkSession, path: str | list[str], require_case: str
     if not found:
         raise ValueError(f"no siteinfo in {path}")
     info = (
-        spark.createDataFrame(found, "header string")
+        literals(spark, [found[0]["header"]], "header")
         .select(F.from_xml("header", SITEINFO, {"mode": "FAILFAST"}).alias("s"))
         .select("s.*")
     )
