@@ -6,8 +6,9 @@ everything behind its start with it.
 
 Nearly every page is finished by one regular expression, which matches regions
 up to ``NESTING`` levels deep with possessive loops: linear time, constant
-stack. Only a page that still shows a starter afterwards (an unclosed or a
-deeper region) goes through the exact left-to-right fold over its tokens.
+stack. A page that still shows a starter afterwards is cut where its unclosed
+region begins, found by a fold over its tokens, and the part before it is done
+alone. Only regions nested deeper need the fold that rebuilds the text.
 """
 
 from __future__ import annotations
@@ -74,19 +75,32 @@ MATH = Region("<math>", "<math>", "</math>", r"[^<]++|<(?!/?math>)")
 
 def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
     """``text`` without the closed regions."""
-    closed = region.nested(region.starter, nesting)
     # A starter with no closed region behind it keeps the rest of the text.
-    pattern = f"(?s){closed}|({quoted(region.starter)}.*+)"
+    pattern = f"(?s){region.nested(region.starter, nesting)}|({quoted(region.starter)}.*+)"
 
-    def finish(whole: Column, quick: Column) -> Column:
-        return F.when(quick.contains(region.starter), fold_regions(whole, region, nesting)).otherwise(quick)
+    def quick(t: Column) -> Column:
+        return F.regexp_replace(t, pattern, "$1")
 
-    return let(text, lambda whole: let(F.regexp_replace(whole, pattern, "$1"), lambda quick: finish(whole, quick)))
+    def of_head(head: Column) -> Column:
+        # All regions of the head are closed: a starter left over is deeper.
+        deep = lambda done: F.when(done.contains(region.starter), fold_regions(head, region, nesting)).otherwise(done)
+        return let(quick(head), deep)
 
+    def of_whole(whole: Column) -> Column:
+        def split(at: Column) -> Column:
+            tail = F.substring(whole, at + 1, F.length(whole))
+            return F.concat(let(F.substring(whole, F.lit(1), at), of_head), tail)
 
-def fold_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
-    """The exact rule, token by token; a closed region up to ``nesting`` deep
-    is one token, so only the unclosed and the deepest markers are stepped."""
+        return let(unclosed_position(whole, region, nesting), split)
+
+    def finish(whole: Column, done: Column) -> Column:
+        return F.when(done.contains(region.starter), of_whole(whole)).otherwise(done)
+
+    return let(text, lambda whole: let(quick(whole), lambda done: finish(whole, done)))
+
+
+def tokens(text: Column, region: Region, nesting: int) -> Column:
+    """Markers, closed regions up to ``nesting`` deep, and what lies between."""
     starter, closer = quoted(region.starter), quoted(region.closer)
     # An opener may not swallow the beginning of a longer starter that lies a
     # few characters further on.
@@ -94,32 +108,54 @@ def fold_regions(text: Column, region: Region, nesting: int = NESTING) -> Column
     overlaps = [k for k in range(1, size) if region.opener[k:] == region.starter[: size - k]]
     behind = "".join(f"(?!{quoted(region.starter[size - k:])})" for k in overlaps)
     lone = quoted(region.opener) + (behind if region.starter != region.opener else "")
-    tokens = F.regexp_extract_all(
-        text,
-        F.lit(f"(?s){region.nested(region.starter, nesting)}|{starter}|{lone}|{closer}|(?:{region.filler})++|."),
-        F.lit(0),
+    pattern = f"(?s){region.nested(region.starter, nesting)}|{starter}|{lone}|{closer}|(?:{region.filler})++|."
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def next_depth(depth: Column, token: Column, region: Region) -> Column:
+    """Depth behind a token: outside only a starter counts."""
+    is_start = token == region.starter
+    return (
+        F.when(depth == 0, is_start.cast("int"))
+        .when(is_start | (token == region.opener), depth + 1)
+        .when(token == region.closer, depth - 1)
+        .otherwise(depth)
     )
+
+
+def unclosed_position(text: Column, region: Region, nesting: int = NESTING) -> Column:
+    """How many characters precede the region that never closes; all of them
+    if every region closes. The fold carries three numbers, so its cost is that
+    of the tokens."""
+
+    def step(state: Column, token: Column) -> Column:
+        depth = next_depth(state["depth"], token, region)
+        opened = (state["depth"] == 0) & (depth == 1)
+        return F.struct(
+            depth.alias("depth"),
+            (state["position"] + F.length(token)).alias("position"),
+            F.when(opened, state["position"]).otherwise(state["start"]).alias("start"),
+        )
+
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("position"), F.lit(0).alias("start"))
+    end = lambda s: F.when(s["depth"] == 0, s["position"]).otherwise(s["start"])
+    return F.aggregate(tokens(text, region, nesting), zero, step, end)
+
+
+def fold_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
+    """The whole rule, token by token."""
     none = F.array().cast("array<string>")
     start = F.struct(F.lit(0).alias("depth"), none.alias("kept"), none.alias("pending"))
 
     def step(state: Column, token: Column) -> Column:
-        is_start = token == region.starter
-        is_open = is_start | (token == region.opener)
-        is_close = token == region.closer
         # Longer than its starter and beginning with it: a closed region.
         is_closed = token.startswith(region.starter) & (F.length(token) > len(region.starter))
-        outside = state["depth"] == 0
-        depth = (
-            F.when(outside, F.when(is_start, 1).otherwise(0))
-            .when(is_open, state["depth"] + 1)
-            .when(is_close, state["depth"] - 1)
-            .otherwise(state["depth"])
-        )
+        depth = next_depth(state["depth"], token, region)
         here = F.array(token)
-        kept = F.when(outside & ~is_start & ~is_closed, F.concat(state["kept"], here)).otherwise(state["kept"])
+        plain = (state["depth"] == 0) & (depth == 0) & ~is_closed
+        kept = F.when(plain, F.concat(state["kept"], here)).otherwise(state["kept"])
         pending = F.when(depth == 0, none).otherwise(F.concat(state["pending"], here))
         return F.struct(depth.alias("depth"), kept.alias("kept"), pending.alias("pending"))
 
-    return F.aggregate(
-        tokens, start, step, lambda s: F.array_join(F.concat(s["kept"], s["pending"]), "")
-    )
+    joined = lambda s: F.array_join(F.concat(s["kept"], s["pending"]), "")
+    return F.aggregate(tokens(text, region, nesting), start, step, joined)

@@ -129,7 +129,14 @@ def remove_headlines(text: Column) -> Column:
     stands between the marks may run over several lines."""
     for level in range(5, 0, -1):
         marks = "=" * level
-        text = F.regexp_replace(text, rf"(?md)\n?^{marks}[^=]++{marks}", "")
+        headline = rf"{marks}[^=]++{marks}"
+        # The first line has no line break before it. Asking for one elsewhere
+        # lets the search pass over a text quickly.
+        text = let(
+            text,
+            lambda t: F.when(t.startswith(marks), F.regexp_replace(t, rf"\A{headline}", "")).otherwise(t),  # noqa: B023
+        )
+        text = F.regexp_replace(text, rf"\n{headline}", "")
     return text
 
 

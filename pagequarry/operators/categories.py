@@ -15,6 +15,9 @@ from pagequarry.operators.reach import reach
 from pagequarry.scale import Size, broadcast_if_small, literals, materialise, sorted_lists
 from pagequarry.wiki import Wiki
 
+# Bytes a stored title can have.
+MAX_TITLE = 255
+
 
 def stored_names(names: DataFrame) -> DataFrame:
     return names.select(normalize_title(F.col("name")).alias("name")).distinct()
@@ -49,7 +52,7 @@ def all_subcategories(wiki: Wiki, roots: DataFrame) -> DataFrame:
 
     A root is in its own result only when a cycle leads back to it.
     """
-    found = _below(*materialise(_steps(wiki)), stored_names(roots))
+    found, _ = _below(*materialise(_steps(wiki)), stored_names(roots))
     pages = wiki.page.where(F.col("page_namespace") == wiki.category_namespace).select(
         "page_id", F.col("page_title").alias("name")
     )
@@ -60,9 +63,10 @@ def _steps(wiki: Wiki) -> DataFrame:
     return subcategory_links(wiki).select(F.col("parent").alias("source"), F.col("name").alias("target"))
 
 
-def _below(steps: DataFrame, size: Size, roots: DataFrame) -> DataFrame:
+def _below(steps: DataFrame, size: Size, roots: DataFrame) -> tuple[DataFrame, Size]:
     start = roots.select(F.col("name").alias("origin"), F.col("name").alias("node"))
-    return reach(steps, start, size).select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth")
+    found, found_size = reach(steps, start, size)
+    return found.select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth"), found_size
 
 
 def subcategory_edges(wiki: Wiki, root: str) -> DataFrame:
@@ -70,8 +74,10 @@ def subcategory_edges(wiki: Wiki, root: str) -> DataFrame:
     met before included."""
     steps, size = materialise(_steps(wiki))
     start = named(wiki, root)
-    inside = _below(steps, size, start).select("name").unionByName(start).distinct()
-    parents = broadcast_if_small(inside.withColumnRenamed("name", "parent"))
+    found, (rows, width) = _below(steps, size, start)
+    inside = found.select("name").unionByName(start).distinct()
+    # One row more than found: the root.
+    parents = broadcast_if_small(inside.withColumnRenamed("name", "parent"), (rows + 1, width + MAX_TITLE))
     edges = steps.select(F.col("target").alias("child"), F.col("source").alias("parent"))
     return edges.join(parents, "parent", "left_semi").select("child", "parent")
 
@@ -84,11 +90,16 @@ def category_pages(wiki: Wiki, names: DataFrame, namespace: int | None = None) -
     shuffled; many are joined by name, where a hot category is split.
     """
     wanted = wiki.namespace if namespace is None else namespace
-    categories = stored_names(names).withColumnRenamed("name", "category")
+    return _members(wiki, *materialise(stored_names(names)), wanted)
+
+
+def _members(wiki: Wiki, names: DataFrame, size: Size, namespace: int) -> DataFrame:
+    """Members of stored, distinct names of a known size."""
+    categories = names.withColumnRenamed("name", "category")
     links = wiki.categorylinks.select(F.col("cl_from").alias("page_id"), F.col("cl_to").alias("category"))
-    pages = wiki.page.where(F.col("page_namespace") == wanted).select("page_id")
+    pages = wiki.page.where(F.col("page_namespace") == namespace).select("page_id")
     return (
-        links.join(broadcast_if_small(categories), "category")
+        links.join(broadcast_if_small(categories, size), "category")
         .join(pages, "page_id")
         .select("category", "page_id")
     )
@@ -96,9 +107,10 @@ def category_pages(wiki: Wiki, names: DataFrame, namespace: int | None = None) -
 
 def category_counts(wiki: Wiki, names: DataFrame) -> DataFrame:
     """``(category, members)``, 0 for a category without members."""
-    categories = stored_names(names).withColumnRenamed("name", "category")
-    counts = category_pages(wiki, names).groupBy("category").agg(F.count(F.lit(1)).alias("members"))
-    return categories.join(counts, "category", "left").select(
+    stored, size = materialise(stored_names(names))
+    members = _members(wiki, stored, size, wiki.namespace)
+    counts = members.groupBy("category").agg(F.count(F.lit(1)).alias("members"))
+    return stored.withColumnRenamed("name", "category").join(counts, "category", "left").select(
         "category", F.coalesce("members", F.lit(0)).alias("members")
     )
 
@@ -108,8 +120,8 @@ def expand_categories(wiki: Wiki, names: DataFrame, subcategories: bool = True)
     given = stored_names(names)
     if not subcategories:
         return given
-    below = _below(*materialise(_steps(wiki)), given).select("name")
-    return materialise(given.unionByName(below).distinct())[0]
+    below, _ = _below(*materialise(_steps(wiki)), given)
+    return given.unionByName(below.select("name")).distinct()
 
 
 def expansion_report(wiki: Wiki, names: DataFrame) -> DataFrame:
@@ -142,15 +154,13 @@ def eligible_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> D
 def page_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> DataFrame:
     """``(page_id, category)``: members of the eligible categories."""
     members = category_pages(wiki, names.where(~F.col("name").contains("/")))
-    if min_members > 1:
-        enough = (
-            members.groupBy("category")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= min_members)
-            .select("category")
-        )
-        members = members.join(broadcast_if_small(enough), "category")
-    return members
+    if min_members <= 1:
+        return members
+    # Ids and names only; counted once, then read again for the result.
+    members, _ = materialise(members)
+    counts = members.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
+    enough, size = materialise(counts.where(F.col("_n") >= min_members).select("category"))
+    return members.join(broadcast_if_small(enough, size), "category")
 
 
 def page_category_lists(labels: DataFrame) -> DataFrame:

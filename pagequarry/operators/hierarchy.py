@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.titles import normalize_title
 from pagequarry.operators.categories import category_counts, named, subcategory_edges
-from pagequarry.operators.reach import reach
+from pagequarry.operators.reach import reach_all
 from pagequarry.scale import literals, sorted_lists
 from pagequarry.session import cut_lineage
 from pagequarry.wiki import Wiki
@@ -71,9 +71,8 @@ def remaining_vertices(edges: DataFrame, vertex: str) -> DataFrame:
 def transitive_closure(edges: DataFrame) -> DataFrame:
     """``(vertex, ancestor)``: everything reachable in one step or more, so a
     vertex is its own ancestor only on a cycle."""
-    steps = edges.select(F.col("child").alias("source"), F.col("parent").alias("target")).distinct()
-    start = steps.select(F.col("source").alias("origin"), F.col("source").alias("node")).distinct()
-    return reach(steps, start).select(F.col("origin").alias("vertex"), F.col("node").alias("ancestor"))
+    steps = edges.select(F.col("child").alias("source"), F.col("parent").alias("target"))
+    return reach_all(steps).select(F.col("origin").alias("vertex"), F.col("node").alias("ancestor"))
 
 
 def label_hierarchy(wiki: Wiki, root: str, min_members: int = 1) -> DataFrame:

@@ -1,4 +1,12 @@
-"""Reachability in a link graph."""
+"""Reachability in a link graph.
+
+Every round of a search is written to the shared folder: the plan stays one
+round long and a lost executor repeats no earlier round. The size of a round,
+seen while it is written, decides whether the next join broadcasts it. Past
+that size the joins shuffle: pairs are told apart by both columns, so a node
+reached from everywhere is no hot key there, and a hot node that is extended is
+split by the adaptive skew join.
+"""
 
 from __future__ import annotations
 
@@ -10,41 +18,76 @@ from pyspark.sql import functions as F
 from pagequarry.scale import Size, broadcast_if_small, materialise
 
 
-def reach(links: DataFrame, start: DataFrame, links_size: Size | None = None) -> DataFrame:
-    """``(origin, node, depth)``: nodes reached over one link or more.
+def union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def total(sizes: list[Size]) -> Size:
+    return sum(rows for rows, _ in sizes), sum(width for _, width in sizes)
+
+
+def reach(links: DataFrame, start: DataFrame, links_size: Size | None = None) -> tuple[DataFrame, Size]:
+    """``(origin, node, depth)``: nodes reached over one link or more, and the
+    size of it.
 
     ``links`` is (source, target), ``start`` is (origin, node); ``links_size``
-    is given when the links are materialised already. Breadth first:
-    a round extends only the pairs the last round found and drops pairs found
-    before, so cycles end and every pair carries its shortest distance.
-
-    Each round is written to the shared folder: the plan stays one round long
-    and a lost executor repeats no earlier round. Its measured size, summed
-    over the rounds, decides whether the pairs are broadcast. Past that size
-    the joins shuffle: pairs are told apart by both columns, so a node reached
-    from everywhere is no hot key there, and a hot node that is extended is
-    split by the adaptive skew join.
+    is given when the links are materialised already. Breadth first: a round
+    extends only the pairs the last round found and drops pairs found before,
+    so cycles end and every pair carries its shortest distance.
     """
     if links_size is None:
         links, links_size = materialise(links)
     rounds: list[DataFrame] = []
-    rows = width = 0
+    sizes: list[Size] = []
     frontier, size = materialise(start)
     while True:
         # The smaller side is the one to broadcast, if either fits.
         if size <= links_size:
-            frontier = broadcast_if_small(frontier, size)
-            extended = links.join(frontier.withColumnRenamed("node", "source"), "source")
+            near = broadcast_if_small(frontier.withColumnRenamed("node", "source"), size)
+            extended = links.join(near, "source")
         else:
-            extended = frontier.join(broadcast_if_small(links, links_size).withColumnRenamed("source", "node"), "node")
+            step = broadcast_if_small(links.withColumnRenamed("source", "node"), links_size)
+            extended = frontier.join(step, "node")
         fresh = extended.select("origin", F.col("target").alias("node")).distinct()
         if rounds:
-            found = reduce(DataFrame.unionByName, [r.select("origin", "node") for r in rounds])
-            fresh = fresh.join(broadcast_if_small(found, (rows, width)), ["origin", "node"], "left_anti")
+            found = union([r.select("origin", "node") for r in rounds])
+            fresh = fresh.join(broadcast_if_small(found, total(sizes)), ["origin", "node"], "left_anti")
         fresh, size = materialise(fresh.withColumn("depth", F.lit(len(rounds) + 1)))
         if size[0] == 0:
             break
         rounds.append(fresh)
-        rows, width = rows + size[0], width + size[1]
+        sizes.append(size)
         frontier = fresh.select("origin", "node")
-    return reduce(DataFrame.unionByName, rounds, fresh)
+    return union(rounds or [fresh]), total(sizes)
+
+
+def reach_all(links: DataFrame) -> DataFrame:
+    """``(origin, node, depth)`` from every node, over one link or more.
+
+    With all pairs up to a distance D known, those at D + j are pairs at
+    exactly D followed by one at j: the known distance doubles each round, and
+    only pairs at the rim are extended.
+    """
+    first = links.select(F.col("source").alias("origin"), F.col("target").alias("node"), F.lit(1).alias("depth"))
+    rim, rim_size = materialise(first.distinct())
+    rounds, sizes, reached = [rim], [rim_size], 1
+    while rim_size[0] > 0:
+        known, known_size = union(rounds), total(sizes)
+        left = rim.select("origin", F.col("node").alias("via"))
+        right = known.select(F.col("origin").alias("via"), "node", "depth")
+        if rim_size <= known_size:
+            left = broadcast_if_small(left, rim_size)
+        else:
+            right = broadcast_if_small(right, known_size)
+        longer = (
+            left.join(right, "via")
+            .groupBy("origin", "node")
+            .agg((F.min("depth") + F.lit(reached)).alias("depth"))
+            .join(broadcast_if_small(known.select("origin", "node"), known_size), ["origin", "node"], "left_anti")
+        )
+        fresh, fresh_size = materialise(longer)
+        rounds.append(fresh)
+        sizes.append(fresh_size)
+        reached *= 2
+        rim, rim_size = materialise(fresh.where(F.col("depth") == reached).select("origin", "node"))
+    return union(rounds)
