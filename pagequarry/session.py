@@ -28,6 +28,8 @@ def build_session(app_name: str = "pagequarry", master: str | None = None, **con
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    # Written rounds of a loop are deleted with the DataFrames that hold them.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in {**RUNTIME_CONF, **{k.replace("_", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
@@ -62,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path made by :func:`scratch_path`."""
+    if not path.startswith(f"{shared_dir(spark).rstrip('/')}/"):
+        raise ValueError(f"not below the shared folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a loop's plan stays small
     and a lost executor costs a re-read instead of all earlier rounds."""

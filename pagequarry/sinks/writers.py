@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagequarry.operators.importing import Imported, import_pages
 from pagequarry.plans.articles import delimited
 from pagequarry.plans.corpus import Corpus
-from pagequarry.session import scratch_path
+from pagequarry.session import drop_scratch, scratch_path
 
 
 def write_member_lists(labels: DataFrame, path: str) -> None:
@@ -102,6 +102,7 @@ def import_dump(raw: DataFrame, namespaces: DataFrame, base: str, prefix: str =
     imported = import_pages(spark.read.parquet(staged), namespaces)
     write_wiki_tables(imported, base, prefix)
     imported.rejected.write.mode("overwrite").parquet(f"{base}/{prefix}rejected")
+    drop_scratch(spark, staged)
     seconds = max(time.monotonic() - started, 1e-3)
     counts = seen.get
     return {

@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
         spark_ui_enabled="false",
         spark_sql_shuffle_partitions="4",
         spark_driver_memory="6g",
-        spark_checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark_sql_warehouse_dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

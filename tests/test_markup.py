@@ -7,6 +7,7 @@ import pytest
 
 from pagequarry.functions import abstracts, lines, markup
 
+# Texts and their cleaned form.
 CATEGORIES = [
     ("[[:Category:Ice hockey]]", "[[:Category:Ice hockey]]"),
     ("[[Category:Ice hockey]] [[Category:Beer]]", ""),

@@ -186,9 +186,12 @@ def test_catalog_tables(spark, dumps):
     wiki = Wiki.from_catalog(spark, language="fr", prefix="p_")
     texts = lookup.latest_text(wiki)
     assert {r.page_id: r.text[:9] for r in texts.collect()} == {1: "  lead <b", 3: "#redirect"}
-    # The bucketed bodies are read in place: no exchange above their scan.
-    plan = texts._jdf.queryExecution().sparkPlan().toString()
-    assert "Bucketed: true" in texts._jdf.queryExecution().executedPlan().toString() or plan
+    # Revisions and bodies are read in place: one exchange, of ids.
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = lookup.latest_text(wiki)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Bucketed: true") == 2 and plan.count("Exchange hashpartitioning") == 1, plan
     spark.sql("DROP DATABASE frwiki CASCADE")
 
 

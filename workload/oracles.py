@@ -375,7 +375,11 @@ def oracle_sql() -> dict[str, str]:
         # Sources
         "read_pages": with_views(FLAT),
         "read_compressed_pages": with_views(FLAT),
-        "read_namespaces": with_views("SELECT CAST(ns_id AS BIGINT) AS ns_id, ns_name FROM w_namespaces"),
+        "read_namespaces": with_views(
+            "SELECT CAST(n.ns_id AS BIGINT) AS ns_id, n.ns_name, count(event_id) AS pages FROM w_namespaces n "
+            "LEFT JOIN split s ON s.namespace = n.ns_id GROUP BY n.ns_id, n.ns_name",
+            SPLIT,
+        ),
         "read_sql_dump": with_views(
             "SELECT n AS cl_from, cl_to || '''s (a,b),(' || chr(92) AS cl_to FROM "
             "(SELECT cl_from AS n, cl_to FROM w_categorylinks UNION ALL SELECT 7, cl_to FROM w_categorylinks)"

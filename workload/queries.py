@@ -62,8 +62,13 @@ def _element(name: str, column: str, attributes: str = "") -> Column:
     return F.coalesce(body, F.lit(""))
 
 
-def _write_dump(data: Data, compression: str = "none") -> str:
-    """The raw pages as an XML dump in the shared folder, in event order."""
+def _dump(data: Data, compression: str = "none") -> str:
+    """Folder of the raw pages as an XML dump."""
+    return data.file(f"dump-{compression}", lambda path: _write_dump(data, path, compression))
+
+
+def _write_dump(data: Data, path: str, compression: str) -> None:
+    """The raw pages as an XML dump, in event order."""
     contributor = F.concat(
         F.lit("<contributor>"), _element("username", "username"), _element("id", "user_id"), _element("ip", "ip"),
         F.lit("</contributor>\n"),
@@ -78,11 +83,10 @@ def _write_dump(data: Data, compression: str = "none") -> str:
         ),
         F.lit("</revision>\n</page>"),
     )
-    path = scratch_path(data.spark, "dump")
     names = data["w_namespaces"].select(
         F.format_string('<namespace key="%d">%s</namespace>\n', "ns_id", _escaped("ns_name")).alias("value")
     )
-    # The header is one element for the whole dump, as in a published one.
+    # The header is one element for the whole dump; the namespaces are few.
     header = names.agg(F.array_join(F.array_sort(F.collect_list("value")), "").alias("n")).select(
         F.concat(
             F.lit("<mediawiki>\n<siteinfo>\n<sitename>Test</sitename>\n<base>b</base>\n<generator>g</generator>\n"),
@@ -90,10 +94,8 @@ def _write_dump(data: Data, compression: str = "none") -> str:
         ).alias("value")
     )
     header.write.option("compression", compression).text(f"{path}/a-header")
-    data["w_raw"].repartitionByRange("event_id").sortWithinPartitions("event_id").select(page.alias("value")).write.option(
-        "compression", compression
-    ).text(f"{path}/b-pages")
-    return path
+    pages = data["w_raw"].repartitionByRange("event_id").sortWithinPartitions("event_id").select(page.alias("value"))
+    pages.write.option("compression", compression).text(f"{path}/b-pages")
 
 
 def _folders(path: str) -> list[str]:
@@ -112,17 +114,22 @@ def _flat(raw: DataFrame) -> DataFrame:
 
 @query
 def read_pages(data: Data) -> DataFrame:
-    return _flat(dump.well_formed(dump.read_pages(data.spark, _folders(_write_dump(data)))))
+    return _flat(dump.well_formed(dump.read_pages(data.spark, _folders(_dump(data)))))
 
 
 @query
 def read_compressed_pages(data: Data) -> DataFrame:
-    return _flat(dump.well_formed(dump.read_pages(data.spark, _folders(_write_dump(data, "bzip2")))))
+    return _flat(dump.well_formed(dump.read_pages(data.spark, _folders(_dump(data, "bzip2")))))
 
 
 @query
 def read_namespaces(data: Data) -> DataFrame:
-    return dump.read_namespaces(data.spark, _folders(_write_dump(data))).select(big("ns_id"), "ns_name")
+    """The namespaces in the header of a dump, with the pages it has of each."""
+    folders = _folders(_dump(data))
+    names = dump.read_namespaces(data.spark, folders)
+    pages = importing.split_namespace(dump.well_formed(dump.read_pages(data.spark, folders)), names)
+    counts = pages.groupBy(F.col("namespace").alias("ns_id")).agg(F.count(F.lit(1)).alias("pages"))
+    return names.join(counts, "ns_id", "left").select(big("ns_id"), "ns_name", F.coalesce("pages", F.lit(0)).alias("pages"))
 
 
 def _quoted(column: str) -> Column:
@@ -277,7 +284,7 @@ def import_statistics(data: Data) -> DataFrame:
 @query
 def incremental_import(data: Data) -> DataFrame:
     """The dump arrives as files; the stream takes them in and ends."""
-    folder = f"{_write_dump(data)}/b-pages"
+    folder = f"{_dump(data)}/b-pages"
     base, state = scratch_path(data.spark, "tables"), scratch_path(data.spark, "stream")
     raw = dump_stream.read_page_stream(data.spark, folder, files_per_batch=4)
     dump_stream.start_import(raw, data["w_namespaces"], base, state).awaitTermination()
@@ -287,7 +294,7 @@ def incremental_import(data: Data) -> DataFrame:
 @query
 def wiki_table_import(data: Data) -> DataFrame:
     """Dump file to tables on disk, page and text joined again."""
-    raw = dump.well_formed(dump.read_pages(data.spark, _folders(_write_dump(data))))
+    raw = dump.well_formed(dump.read_pages(data.spark, _folders(_dump(data))))
     base = scratch_path(data.spark, "import")
     writers.import_dump(raw, data["w_namespaces"], base)
     page = data.spark.read.parquet(f"{base}/page")
@@ -366,7 +373,7 @@ def missing_pages(data: Data) -> DataFrame:
 
 @query
 def find_article(data: Data) -> DataFrame:
-    raw = dump.read_pages(data.spark, _folders(_write_dump(data)), with_position=True)
+    raw = dump.read_pages(data.spark, _folders(_dump(data)), with_position=True)
     return lookup.find_article(raw, "Portal:purchase")
 
 

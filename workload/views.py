@@ -10,6 +10,7 @@ are raw pages of a dump.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,12 +130,13 @@ SELECT doc_id, doc_id * 10 + 1 AS page_id, lang, source,
 FROM documents
 """
 
+# A fixed few, as in a wiki: the constants and one per nation.
 NAMESPACES = """
 SELECT 0 AS ns_id, '' AS ns_name
 UNION ALL SELECT -1, 'Special'
 UNION ALL SELECT 10, 'Template'
 UNION ALL SELECT 14, 'Category'
-UNION ALL SELECT CAST(100 + s_suppkey AS INT), s_name FROM supplier
+UNION ALL SELECT 100 + n_nationkey, n_name FROM nation
 """
 
 
@@ -152,7 +154,7 @@ RAW = f"""
 SELECT event_id,
   CASE event_id % 7
     WHEN 0 THEN concat('Category:', {_KIND}, ' ', CAST(event_id AS STRING))
-    WHEN 1 THEN concat('Supplier#', lpad(CAST(user_id % 100 AS STRING), 9, '0'), ':page ', CAST(event_id AS STRING))
+    WHEN 1 THEN concat('NATION_', CAST(user_id % 30 AS STRING), ':page ', CAST(event_id AS STRING))
     WHEN 2 THEN concat(':lead ', CAST(event_id AS STRING))
     WHEN 3 THEN concat('Portal:', {_KIND})
     ELSE concat({_KIND}, ' ', CAST(event_id AS STRING)) END AS title,
@@ -196,6 +198,7 @@ class Data:
         for name in TABLES:
             spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
         self.frames: dict[str, DataFrame] = {}
+        self.files: dict[str, str] = {}
         for name, sql in VIEWS.items():
             frame = spark.sql(sql)
             if name in SPREAD:
@@ -207,6 +210,14 @@ class Data:
     def __getitem__(self, name: str) -> DataFrame:
         return self.frames[name]
 
+    def file(self, name: str, write: Callable[[str], None]) -> str:
+        """Folder of derived files, written when first asked for."""
+        if name not in self.files:
+            path = scratch_path(self.spark, name)
+            write(path)
+            self.files[name] = path
+        return self.files[name]
+
     def wiki(self, **settings) -> Wiki:
         return Wiki(
             page=self["w_page"],
