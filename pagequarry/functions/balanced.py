@@ -6,9 +6,10 @@ everything behind its start with it.
 
 Nearly every page is finished by one regular expression, which matches regions
 up to ``NESTING`` levels deep with possessive loops: linear time, constant
-stack. A page that still shows a starter afterwards is cut where its unclosed
-region begins, found by a fold over its tokens, and the part before it is done
-alone. Only regions nested deeper need the fold that rebuilds the text.
+stack. A second one settles the pages where a region is plainly left open. What
+remains is cut where its unclosed region begins, found by a fold over its
+tokens, and the part before it is done alone. Only regions nested deeper need
+the fold that rebuilds the text.
 """
 
 from __future__ import annotations
@@ -75,8 +76,14 @@ MATH = Region("<math>", "<math>", "</math>", r"[^<]++|<(?!/?math>)")
 
 def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
     """``text`` without the closed regions."""
+    starter, closed = quoted(region.starter), region.nested(region.starter, nesting)
     # A starter with no closed region behind it keeps the rest of the text.
-    pattern = f"(?s){region.nested(region.starter, nesting)}|({quoted(region.starter)}.*+)"
+    pattern = f"(?s)(?={starter})(?:{closed}|(.*+))"
+    # Behind the closed regions a starter, and up to the end no closer that is
+    # not part of a closed region: it never closes.
+    first = quoted(region.starter[0])
+    inside = f"{region.filler}|{region.nested(region.opener, nesting)}|{quoted(region.opener)}"
+    unclosed = f"(?s)\\A(?:[^{first}]++|{closed}|(?!{starter}).)*+{starter}(?:{inside})*+\\z"
 
     def quick(t: Column) -> Column:
         return F.regexp_replace(t, pattern, "$1")
@@ -94,7 +101,8 @@ def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Colu
         return let(unclosed_position(whole, region, nesting), split)
 
     def finish(whole: Column, done: Column) -> Column:
-        return F.when(done.contains(region.starter), of_whole(whole)).otherwise(done)
+        settled = ~done.contains(region.starter) | whole.rlike(unclosed)
+        return F.when(settled, done).otherwise(of_whole(whole))
 
     return let(text, lambda whole: let(quick(whole), lambda done: finish(whole, done)))
 
