@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.binding import let
 
-NESTING = 6
+NESTING = 10
 
 
 @dataclass(frozen=True)

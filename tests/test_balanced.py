@@ -37,7 +37,7 @@ def test_random_texts(apply, kind, nesting):
     region, pieces = PIECES[kind]
     rng = random.Random(f"{kind}{nesting}")
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 18))) for _ in range(3000)]
-    texts += [region.starter * 9 + "x" + region.closer * 9 + "y", region.starter * 9 + region.closer * 8]
+    texts += [region.starter * 14 + "x" + region.closer * 14 + "y", region.starter * 14 + region.closer * 13]
     found = apply(lambda t: balanced.remove_regions(t, region, nesting), texts)
     wrong = [(t, f, expected(t, region)) for t, f in zip(texts, found) if f != expected(t, region)]
     assert not wrong, wrong[:3]

@@ -117,6 +117,8 @@ _PERSON = f"""CASE WHEN lang = 'de' THEN concat('{{{{Personendaten', {_NL}, '| N
 
 _BLOCKS = f"""concat('===== Tief =====', {_NL}, '==== Vier ====', {_NL}, '== ', source, ' ==', {_NL}, '= Kopf =', {_NL},
   '* Punkt', {_NL}, '#: Nummer', {_NL}, '; Wort', {_NL}, '----', {_NL}, '<gallery>Bild</gallery>', {_NL},
+  CASE WHEN lang = 'fr' AND source = 'src0' THEN concat(repeat('{{{{a ', 14), repeat('}}}}', 14), '[[Bild:t ',
+    repeat('[[', 14), repeat(']]', 15), repeat('{{| ', 14), repeat('|}}', 14)) ELSE '' END,
   CASE WHEN lang = 'fr' THEN concat(repeat('{{{{a|', 9), 'x', repeat('}}}}', 9), repeat('{{|b', 8), repeat('|}}', 8),
     '[[Bild:t ', repeat('[[u ', 8), repeat(']]', 9)) ELSE '' END,
   CASE WHEN lang = 'es' THEN concat('[[Bild:offen {{{{open {{| auf <math>', {_NL}) ELSE '' END)"""
