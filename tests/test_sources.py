@@ -12,7 +12,7 @@ from pagequarry.sources import dump, sql_dump, wikitext
 from pagequarry.streaming import dumps as stream
 from pagequarry.wiki import Wiki
 
-HEADER = """<mediawiki version="0.3" xml:lang="en">
+HEADER = """<wiki version="0.3" xml:lang="en">
   <siteinfo>
     <sitename>Test</sitename><base>b</base><generator>g</generator><case>first-letter</case>
     <namespaces>
@@ -65,7 +65,7 @@ BROKEN = "  <page><title>bad</title><id>9</id><revision><id>1</id><text>&nope; x
 
 @pytest.fixture
 def dumps(tmp_path):
-    text = HEADER + PAGES + BROKEN + "</mediawiki>\n"
+    text = HEADER + PAGES + BROKEN + "</wiki>\n"
     (tmp_path / "a.xml").write_text(text)
     (tmp_path / "b.xml.bz2").write_bytes(bz2.compress(text.encode()))
     return tmp_path
@@ -96,7 +96,7 @@ def test_namespaces_and_header(spark, dumps):
 def test_file_is_split_among_tasks(spark, tmp_path):
     page = PAGES.split("</page>")[0] + "</page>\n"
     pages = "".join(page.replace("<id>1</id>", f"<id>{i}</id>").replace("A &amp;", f"T{i} &amp;") for i in range(2000))
-    (tmp_path / "big.xml").write_text(HEADER + pages + "</mediawiki>\n")
+    (tmp_path / "big.xml").write_text(HEADER + pages + "</wiki>\n")
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
@@ -142,9 +142,9 @@ def test_stream_takes_new_files_once(spark, dumps, tmp_path):
         stream.start_import(stream.read_page_stream(spark, folder), names, base, state).awaitTermination()
         return sorted(r.page_id for r in stream.imported_table(spark, base, "page").collect())
 
-    (tmp_path / "drop/1.xml").write_text(HEADER + PAGES + "</mediawiki>")
+    (tmp_path / "drop/1.xml").write_text(HEADER + PAGES + "</wiki>")
     assert run() == [1, 2, 3]
-    (tmp_path / "drop/2.xml").write_text(HEADER + PAGES.replace("<id>3</id>\n    <rev", "<id>4</id>\n    <rev") + "</mediawiki>")
+    (tmp_path / "drop/2.xml").write_text(HEADER + PAGES.replace("<id>3</id>\n    <rev", "<id>4</id>\n    <rev") + "</wiki>")
     assert run() == [1, 1, 2, 2, 3, 4]
     assert run() == [1, 1, 2, 2, 3, 4]
     assert sorted(r.old_id for r in stream.imported_table(spark, base, "text").collect()) == [11, 11, 13, 13]

@@ -89,7 +89,7 @@ def _write_dump(data: Data, path: str, compression: str) -> None:
     # The header is one element for the whole dump; the namespaces are few.
     header = names.agg(F.array_join(F.array_sort(F.collect_list("value")), "").alias("n")).select(
         F.concat(
-            F.lit("<mediawiki>\n<siteinfo>\n<sitename>Test</sitename>\n<base>b</base>\n<generator>g</generator>\n"),
+            F.lit("<wiki>\n<siteinfo>\n<sitename>Test</sitename>\n<base>b</base>\n<generator>g</generator>\n"),
             F.lit("<case>first-letter</case>\n<namespaces>\n"), "n", F.lit("</namespaces>\n</siteinfo>"),
         ).alias("value")
     )
