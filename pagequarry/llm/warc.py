@@ -91,11 +91,11 @@ def store_pages(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, DataFr
     key = F.struct("page_id", "url", "row")
     narrow = packed.select("page_id", "url", "row", "sha1", "sha256", "size")
     first = narrow.where(F.col("size") >= min_bytes).groupBy("sha256").agg(F.max(key).alias("first"))
-    settled = narrow.join(first, "sha256", "left").withColumn("revisit", F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)))
+    settled = narrow.join(first.hint("merge"), "sha256", "left").withColumn("revisit", F.coalesce(F.col("first.row") != F.col("row"), F.lit(False)))
     headers = stage(settled.mapInArrow(_headers, _HEADERS), "headers")
     # Kept bytes: those of the responses' rows, so copies are dropped where they lie.
     kept = headers.where("not revisit").select("row")
-    own = packed.join(kept, "row", "left_semi").select("sha256", "size", "packed")
+    own = packed.join(kept.hint("merge"), "row", "left_semi").select("sha256", "size", "packed")
     # Records too small for revisits may repeat a payload.
     payloads = stage(own.dropDuplicates(["sha256"]) if min_bytes > 0 else own, "payloads")
     drop_scratch(spark, held)
@@ -136,7 +136,7 @@ def rebuild_records(headers: DataFrame, payloads: DataFrame, whole: bool = True)
     The bytes are checked against their digest as they are unpacked.
     """
     bodies = headers if whole else headers.where("not revisit")
-    joined = bodies.join(payloads.select("sha256", "packed"), "sha256").select("page_id", "sha256", "header", "packed")
+    joined = bodies.join(payloads.select("sha256", "packed").hint("merge"), "sha256").select("page_id", "sha256", "header", "packed")
     if not whole:
         bare = headers.where("revisit").select("page_id", "sha256", "header", F.lit(None).cast("binary").alias("packed"))
         joined = joined.unionByName(bare)
@@ -233,4 +233,4 @@ def archive_report(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     names = write_archives(rebuild_records(headers, payloads, whole=False), folder)
     read = read_archives(spark, folder, names, payloads=False).drop("payload")
     sizes = read.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("size").alias("payload_bytes"))
-    return read.join(sizes, "payload_digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read.join(sizes.hint("merge"), "payload_digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
