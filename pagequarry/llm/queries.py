@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagequarry.llm import cover_tree, decontaminate, minmax, token_files, warc
+from pagequarry.llm import cover_tree, decontaminate, minmax, token_files, toxicity, warc
 from pagequarry.llm.common import table
 from pagequarry.session import scratch_path
 
@@ -33,8 +33,14 @@ def op8_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, folder, "documents"), words=2, threshold=0.8)
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op5_cover_tree_pairs, op8_minmax_near_duplicates,
+        op10_toxicity,
     )
 }
