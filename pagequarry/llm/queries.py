@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagequarry.llm import cover_tree, decontaminate, minmax, token_files, toxicity, warc
+from pagequarry.llm import cover_tree, decontaminate, minmax, repeats, token_files, toxicity, warc
 from pagequarry.llm.common import table
 from pagequarry.session import scratch_path
 
@@ -29,6 +29,10 @@ def op5_cover_tree_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.vector_links(table(spark, folder, "embeddings"), threshold=0.98)
 
 
+def op6_run_length_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, folder, "documents"), length=100)
+
+
 def op8_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, folder, "documents"), words=2, threshold=0.8)
 
@@ -40,7 +44,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op5_cover_tree_pairs, op8_minmax_near_duplicates,
+        op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op5_cover_tree_pairs, op6_run_length_repeats, op8_minmax_near_duplicates,
         op10_toxicity,
     )
 }
