@@ -1,11 +1,56 @@
-"""Training-data pipeline: each stage works on what the one before it kept."""
+"""Training-data pipeline over ``documents``: each stage works on what the one
+before it kept, written as Parquet and read again."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from pagequarry.llm import decontaminate, minmax, mixing, token_files, toxicity
+from pagequarry.llm.common import stage, table
+from pagequarry.session import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on this input, does not reject."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group alike in their five-word shingles."""
+    return minmax.one_of_each(docs, words=5, threshold=0.8)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources up to one and a half times."""
+    return mixing.mix(docs, max_repetition=1.5)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as token files, and their place in them."""
+    folder = scratch_path(spark, "tokens")
+    token_files.write_token_files(docs, folder)
+    return token_files.read_token_files(spark, folder)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
+]
+
+#: A trained classifier and files of token ids are not for SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

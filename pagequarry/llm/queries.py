@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagequarry.llm import cover_tree, decontaminate, minmax, repeats, token_files, toxicity, warc
+from pagequarry.llm import chat, cover_tree, decontaminate, lines, minmax, mixing, repeats, token_files, toxicity, warc
 from pagequarry.llm.common import table
 from pagequarry.session import scratch_path
 
@@ -25,6 +25,10 @@ def op3_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_report(table(spark, folder, "pages"))
 
 
+def op4_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"), max_repetition=2.0)
+
+
 def op5_cover_tree_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.vector_links(table(spark, folder, "embeddings"), threshold=0.98)
 
@@ -33,18 +37,27 @@ def op6_run_length_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_report(table(spark, folder, "documents"), length=100)
 
 
+def op7_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
 def op8_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, folder, "documents"), words=2, threshold=0.8)
 
 
+def op9_line_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.removed_lines(table(spark, folder, "documents"), threshold=0.8).drop("mark")
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
-        op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op5_cover_tree_pairs, op6_run_length_repeats, op8_minmax_near_duplicates,
-        op10_toxicity,
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op4_temperature_mixing, op5_cover_tree_pairs,
+        op6_run_length_repeats, op7_chat_snapshots, op8_minmax_near_duplicates, op9_line_similarity, op10_toxicity,
     )
 }
