@@ -175,3 +175,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """Rows of ``docs``, one for each group of near duplicates, columns as given.
+
+    Of rows with the same doc_id one stays; rows with a null one all do."""
+    kept = near_duplicates(docs, words, threshold).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_doc"), F.struct("*").alias("_row"))
+    chosen = named.join(kept.hint("merge"), F.col("_doc") == F.col("_kept"), "left_semi").dropDuplicates(["_doc"]).select("_row.*")
+    return chosen.unionByName(docs.where("doc_id is null"))
