@@ -164,8 +164,8 @@ def page_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> DataF
 
 
 def page_category_lists(labels: DataFrame) -> DataFrame:
-    """``(page_id, part, categories)``: sorted categories of each page. Only a
-    page with a very long list has more than the part 0."""
+    """``(page_id, part, categories)``: sorted categories of each page, cut
+    into parts by their rank."""
     return sorted_lists(labels, "page_id", "category", "categories")
 
 

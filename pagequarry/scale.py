@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagequarry.session import cut_lineage
@@ -14,7 +14,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows and bytes of a DataFrame.
 Size = tuple[int, int]
 
-# Longest list a single row may carry; longer groups come out in several parts.
+# Values of a key's sorted list in each of its parts, unless asked otherwise.
 LIST_ROWS = 100_000
 
 
@@ -64,27 +64,27 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def sorted_lists(df: DataFrame, key: str, value: str, alias: str, max_rows: int = LIST_ROWS) -> DataFrame:
+def sorted_lists(df: DataFrame, key: str, value: str, alias: str, part_rows: int = LIST_ROWS) -> DataFrame:
     """``(key, part, alias)``: the distinct values of each key, sorted.
 
-    Nearly every key has the single part 0. A key with more than ``max_rows``
-    rows is cut by a hash of the value into parts of about that size, so no
-    task ever holds a whole hot group and no value is dropped. The values are
-    collected as a set, so equal pairs collapse before the shuffle.
+    One rule for all keys: a value's part is its rank in the key's sorted order,
+    counted from 0, divided by ``part_rows``. The parts of a key in order are its
+    sorted list, whatever the number of rows. The rank comes from a range sort
+    over keys and values, so a hot key is several ranges, counted apart and
+    added up, and no task holds it.
     """
-    counts = df.groupBy(key).agg(F.count(value).alias("_n"))
-    longest = counts.agg(F.max("_n")).first()[0] or 0
-    if longest <= max_rows:
-        keyed = df.select(key, value, F.lit(0).alias("part"))
-    else:
-        hot = counts.where(F.col("_n") > max_rows).select(
-            key, F.ceil(F.col("_n") / F.lit(max_rows)).cast("int").alias("_parts")
-        )
-        part = F.when(F.col("_parts").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(value), F.col("_parts")).cast("int")
-        )
-        keyed = df.join(broadcast_if_small(hot), key, "left").select(key, value, part.alias("part"))
-    return keyed.groupBy(key, "part").agg(F.array_sort(F.collect_set(value)).alias(alias))
+    pairs = df.select(key, value).where(F.col(value).isNotNull()).distinct()
+    dealt = cut_lineage(pairs.repartitionByRange(key, value).withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        F.col(key).alias("_key"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy(key, "_range").orderBy(value))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of"))
+    ranked = dealt.withColumn("_rank", inside).join(before, same)
+    part = F.floor((F.col("_before") + F.col("_rank") - 1) / F.lit(part_rows)).cast("int")
+    return ranked.groupBy(key, part.alias("part")).agg(F.array_sort(F.collect_list(value)).alias(alias))
 
 
 def literals(spark: SparkSession, values: list, name: str) -> DataFrame:

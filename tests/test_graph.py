@@ -80,13 +80,20 @@ def test_hot_keys_come_in_parts(spark, any_join):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"),
         F.col("id").cast("string").alias("v"),
     )
-    parts = scale.sorted_lists(pairs.unionByName(pairs), "k", "v", "vs", max_rows=100)
+    parts = scale.sorted_lists(pairs.unionByName(pairs), "k", "v", "vs", part_rows=100)
     hot = parts.where("k = 'hot'").collect()
-    assert len(hot) > 10 and max(len(r.vs) for r in hot) < 200
-    assert sorted(v for r in hot for v in r.vs) == sorted(str(i) for i in range(0, 5000, 3))
+    assert [len(r.vs) for r in sorted(hot, key=lambda r: r.part)] == [100] * 16 + [67]
+    assert [v for r in sorted(hot, key=lambda r: r.part) for v in r.vs] == sorted(str(i) for i in range(0, 5000, 3))
     assert parts.where("k <> 'hot' AND part = 0 AND size(vs) = 1").count() == 3333
 
 
+def test_one_rule_for_long_lists(spark):
+    many = spark.range(230_000).select(F.lit("hot").alias("k"), F.format_string("%07d", "id").alias("v"))
+    parts = sorted(scale.sorted_lists(many, "k", "v", "vs").collect(), key=lambda r: r.part)
+    assert [v for r in parts for v in r.vs] == [f"{n:07d}" for n in range(230_000)]
+    assert [(r.part, len(r.vs)) for r in parts] == [(0, 100_000), (1, 100_000), (2, 30_000)]
+
+
 def test_distances(spark, any_join):
     import random
 
@@ -176,7 +183,7 @@ def test_corpus(spark, wiki, tmp_path, any_join):
     assert rows(found.missing) == [(4,)]
     path = str(tmp_path / "c")
     writers.write_corpus(found, path)
-    low = spark.read.text(f"{path}/categories/category=Low")
+    low = spark.read.parquet(f"{path}/categories").where("category = 'Low'").select(F.col("page_id").cast("string").alias("value"))
     assert rows(low) == [("1",), ("2",)]
     assert rows(spark.read.parquet(f"{path}/category_mappings")) == [(1, 0, "Left\nLow"), (2, 0, "Low")]
     assert ("3\tRight",) in rows(spark.read.text(f"{path}/page_categories"))
