@@ -4,29 +4,37 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pagequarry.operators.categories import page_category_lists
 from pagequarry.operators.importing import Imported, import_pages
 from pagequarry.plans.articles import delimited
 from pagequarry.plans.corpus import Corpus
 from pagequarry.session import drop_scratch, scratch_path
 
 
-def write_member_lists(labels: DataFrame, path: str) -> None:
-    """Page ids, one per line, in a folder per category.
+def write_member_lists(labels: DataFrame, path: str, folders: bool = False) -> None:
+    """``(category, page_id)`` as Parquet, sorted over all files.
 
     The range is taken over category and page id, so a category larger than a
-    task is written by several of them, and a small one by a single task.
+    task is written by several of them, and few files hold all small ones. With
+    ``folders`` page ids are written as lines in a folder for each category,
+    named by :func:`folder_name`.
     """
-    (
-        labels.select("category", F.col("page_id").cast("string").alias("value"))
-        .repartitionByRange("category", "value")
-        .sortWithinPartitions("category", "value")
-        .write.mode("overwrite")
-        .partitionBy("category")
-        .text(path)
-    )
+    if not folders:
+        rows = labels.select("category", "page_id")
+        rows.repartitionByRange("category", "page_id").sortWithinPartitions("category", "page_id").write.mode("overwrite").parquet(path)
+        return
+    named = labels.select(folder_name(F.col("category")).alias("folder"), F.col("page_id").cast("string").alias("value"))
+    named.repartitionByRange("folder", "value").sortWithinPartitions("folder", "value").write.mode("overwrite").partitionBy("folder").text(path)
+
+
+def folder_name(category: Column) -> Column:
+    """A name any file system takes: the title's plain characters, at most 80
+    of them, and a digest that tells titles apart."""
+    plain = F.substring(F.regexp_replace(category, "[^A-Za-z0-9_-]", "_"), 1, 80)
+    return F.concat(plain, F.lit("-"), F.md5(category))
 
 
 def write_articles(articles: DataFrame, path: str) -> None:
@@ -48,13 +56,19 @@ def write_label_pairs(labels: DataFrame, path: str) -> None:
     labels.select(pair.alias("value")).write.mode("overwrite").text(path)
 
 
-def write_corpus(corpus: Corpus, path: str) -> None:
+def write_corpus(corpus: Corpus, path: str, articles: bool = True) -> None:
+    """Member lists, articles, category lists and label pairs; without
+    ``articles`` no text is read and the lists cover the pages that have one."""
     write_member_lists(corpus.labels, f"{path}/categories")
+    write_label_pairs(corpus.labels, f"{path}/page_categories")
+    if not articles:
+        labels = corpus.labels.join(corpus.missing, "page_id", "left_anti")
+        write_category_lists(page_category_lists(labels), f"{path}/category_mappings")
+        return
     write_articles(corpus.articles, f"{path}/articles")
     # The lists follow the articles written: their texts are not made twice.
     written = corpus.articles.sparkSession.read.parquet(f"{path}/articles")
     write_category_lists(Corpus(corpus.labels, written, corpus.missing).label_lists(), f"{path}/category_mappings")
-    write_label_pairs(corpus.labels, f"{path}/page_categories")
 
 
 def write_hierarchy(lines: DataFrame, path: str) -> None:

@@ -8,9 +8,13 @@ from pyspark.sql import types as T
 
 from pagequarry.scale import spread
 
-_QUOTED = r"'(?:[^'\\]++|\\.)*+'"
-_VALUE = rf"(?:{_QUOTED}|[^,()']++)"
-_TUPLE = rf"(?s)\({_VALUE}(?:,{_VALUE})*+\)"
+_QUOTED = r"'(?:[^'\\]++|\\.|'')*+'"
+# A quoted value may be led by a character set or a letter (_binary'..', x'..').
+_VALUE = rf"(?:\s*+(?:[A-Za-z_]\w*+\s*+)?+{_QUOTED}|[^,()']++)"
+_TUPLE = rf"(?s)\(\s*+{_VALUE}\s*+(?:,\s*+{_VALUE}\s*+)*+\)"
+# What may stand before a statement, and its head with an optional column list.
+_IGNORED = r"(?:\s++|--[^\n]*+(?:\n|\z)|#[^\n]*+(?:\n|\z)|/\*(?s:.*?)\*/;?+)*+"
+_HEAD = rf"(?i)\A{_IGNORED}INSERT\s+(?:IGNORE\s+)?(?:INTO\s+)?(?:`[^`]+`|[\w.$]+)\s*(\([^)]*\))?\s*VALUES?\s*"
 
 # Columns of the two published tables; trailing columns need not be named.
 CATEGORYLINKS = "cl_from bigint, cl_to string"
@@ -20,30 +24,53 @@ CATEGORY = "cat_id bigint, cat_title string, cat_pages int, cat_subcats int, cat
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "0": "\0", "Z": "\x1a", "b": "\b"}
 
 
+def _statements(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(columns, body)`` of the INSERT statements at ``path``, which end with
+    a semicolon and a line break and may take several lines before."""
+    read = spread(spark.read.option("lineSep", ";\n").text(path))
+    inserts = read.where(F.col("value").rlike(_HEAD))
+    listed = F.regexp_extract("value", _HEAD, 1)
+    names = F.when(listed != "", F.split(F.regexp_replace(listed, r"[`\s()]", ""), ","))
+    return inserts.select(names.alias("columns"), F.regexp_replace("value", _HEAD, "").alias("body"))
+
+
 def read_sql_dump(spark: SparkSession, path: str | list[str], columns: str) -> DataFrame:
-    """Rows of the ``INSERT INTO`` lines at ``path``.
+    """Rows of the ``INSERT INTO`` statements at ``path``.
 
-    ``columns`` is a DDL list for the leading values of every tuple; a tuple
-    with fewer values gives nulls. Quoted values may hold quotes, commas,
-    parentheses and backslash escapes. A gzip file is one split, so its rows
-    are redistributed before they are taken apart.
+    ``columns`` is a DDL list: the leading values of every tuple, or those of
+    the same names where a statement lists its columns; what a tuple lacks is
+    null. Quoted values may hold quotes (doubled or escaped), commas,
+    parentheses, line breaks and backslash escapes, and be led by a character
+    set. :func:`rejected_sql` has what was not understood. A gzip file is one
+    split, so its statements are redistributed before they are taken apart.
     """
-    lines = spark.read.text(path).where(F.col("value").startswith("INSERT INTO"))
-    body = F.expr("substr(value, instr(value, ' VALUES ') + 8)")
-    tuples = spread(lines).select(F.explode(F.regexp_extract_all(body, F.lit(_TUPLE), F.lit(0))).alias("row"))
-    values = F.regexp_extract_all(
-        F.expr("substr(row, 2, length(row) - 2)"), F.lit(rf"(?s){_VALUE}"), F.lit(0)
+    tuples = _statements(spark, path).select(
+        "columns", F.explode(F.regexp_extract_all("body", F.lit(_TUPLE), F.lit(0))).alias("row")
     )
+    values = F.regexp_extract_all(F.expr("substr(row, 2, length(row) - 2)"), F.lit(rf"(?s){_VALUE}"), F.lit(0))
     fields = T.StructType.fromDDL(columns).fields
-    return tuples.select(values.alias("v")).select(
-        *[typed(F.get("v", F.lit(i)), field.dataType).alias(field.name) for i, field in enumerate(fields)]
-    )
+    split = tuples.select("columns", F.transform(values, F.trim).alias("v"))
+
+    def value(place: int, name: str) -> Column:
+        listed = F.array_position("columns", F.lit(name)).cast("int") - 1
+        at = F.coalesce(listed, F.lit(place))
+        return F.when(at >= 0, F.get("v", at))
+
+    return split.select(*[typed(value(i, f.name), f.dataType).alias(f.name) for i, f in enumerate(fields)])
+
+
+def rejected_sql(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``rest``: what the statements at ``path`` hold besides the tuples that
+    :func:`read_sql_dump` takes from them; no row where all was understood."""
+    rest = F.regexp_replace("body", _TUPLE, "")
+    return _statements(spark, path).select(rest.alias("rest")).where(F.col("rest").rlike(r"[^,;\s]"))
 
 
 def typed(literal: Column, kind: T.DataType) -> Column:
     """Value of an SQL literal; a bare ``NULL`` is null."""
+    inside = F.replace(F.regexp_replace(literal, r"(?s)\A[^']*+'(.*)'\z", "$1"), F.lit("''"), F.lit("'"))
     text = (
-        F.when(literal.startswith("'"), unescape(F.regexp_replace(literal, r"(?s)\A'(.*)'\z", "$1")))
+        F.when(literal.endswith("'"), unescape(inside))
         .when(F.upper(literal) != "NULL", literal)
     )
     return text if isinstance(kind, T.StringType) else text.try_cast(kind)

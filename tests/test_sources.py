@@ -204,3 +204,28 @@ def test_timestamps(spark):
     assert [tuple(r) for r in found.collect()] == [
         ("2001-02-03 04:05:06", "20010203040506"), (None, None), (None, "20011345999999"), (None, None),
     ]
+
+
+def test_sql_dump_in_any_form(spark, tmp_path):
+    dump = (
+        "-- a comment; with a semicolon\n/*!40000 ALTER TABLE `t` DISABLE KEYS */;\n"
+        "INSERT INTO category(cat_id, cat_title) VALUES (1,'a'),\n(2, 'it''s\nhere'),\n  (3 , _binary 'b\\'q');\n"
+        "insert ignore into `category` (`cat_title`,cat_pages,`cat_id`) values ('x,(y)',7,4);\n"
+        "INSERT INTO category VALUES (5,NULL,1,2,3),(6,broken(,1),(7,'''');\nSELECT 1;\n"
+    )
+    (tmp_path / "dump.sql").write_text(dump)
+    read = sql_dump.read_sql_dump(spark, str(tmp_path), "cat_id bigint, cat_title string, cat_pages int")
+    assert sorted(tuple(r) for r in read.collect()) == [
+        (1, "a", None), (2, "it's\nhere", None), (3, "b'q", None), (4, "x,(y)", 7), (5, None, 1), (7, "'", None)
+    ]
+    rest = [r.rest for r in sql_dump.rejected_sql(spark, str(tmp_path)).collect()]
+    assert len(rest) == 1 and "broken" in rest[0]
+
+
+def test_member_folders_take_any_title(spark, tmp_path):
+    titles = ["ä" * 127, "a/b:*?", "A" * 255, "."]
+    labels = spark.createDataFrame([(t, n) for n, t in enumerate(titles)], "category string, page_id long")
+    writers.write_member_lists(labels, str(tmp_path / "flat"))
+    assert spark.read.parquet(str(tmp_path / "flat")).count() == 4
+    writers.write_member_lists(labels, str(tmp_path / "folders"), folders=True)
+    assert len([p for p in (tmp_path / "folders").iterdir() if p.name.startswith("folder=")]) == 4
