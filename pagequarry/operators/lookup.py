@@ -12,7 +12,7 @@ from pagequarry.functions.titles import (
     normalize_title,
     without_template_prefix,
 )
-from pagequarry.scale import Size, broadcast_if_small
+from pagequarry.scale import Size, broadcast_if_small, fits_broadcast
 from pagequarry.wiki import Wiki
 
 
@@ -44,6 +44,10 @@ def latest_text(wiki: Wiki, page_ids: DataFrame | None = None, size: Size | None
     """``(page_id, rev_id, text)`` of the latest revision of every page, or of
     the given pages. Pages without a text have no row."""
     latest = latest_revisions(wiki, page_ids, size)
+    if size is not None and fits_broadcast(size):
+        # One row of three ids for each wanted page: no more than was measured,
+        # so bodies of other pages are dropped where they are read.
+        latest = F.broadcast(latest)
     return latest.join(decode_text(wiki), F.col("text_id") == F.col("old_id")).select("page_id", "rev_id", "text")
 
 
@@ -107,8 +111,8 @@ def find_article(raw: DataFrame, title: str) -> DataFrame:
     """``(position, text)`` of the first page of a dump with this title, counted
     from 1; empty without one. ``raw`` is read with its positions.
 
-    Two passes: one finds the place of the first match, one counts the pages
-    up to it, for which no page is parsed. Nothing is sorted.
+    Three passes: one finds the place of the first match, one counts the pages
+    up to it, for which no page is parsed, one reads it. Nothing is sorted.
     """
     matches = raw.where(F.col("title") == normalize_dump_title(F.lit(title)))
     first = matches.agg(F.min("position").alias("p")).first()["p"]

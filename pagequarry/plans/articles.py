@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from pagequarry.operators.categories import category_set_pages
 from pagequarry.operators.cleaning import READER_STEPS, apply_steps
-from pagequarry.operators.lookup import latest_text, random_pages, resolve_titles
+from pagequarry.operators.lookup import latest_text, missing_pages, random_pages, resolve_titles
 from pagequarry.scale import literals, materialise
 from pagequarry.wiki import Wiki
 
-# Below this length a text is reported as very short, and the
-# lines around an article in a stream of articles.
+# Below this length a text is reported as very short, the lines
+# around an article in a stream of articles, and the words of the reports below.
 SHORT_TEXT = 20
 START_LINE = ">>>>START ARTICLE<<<<"
 END_LINE = ">>>>END ARTICLE<<<<"
@@ -50,9 +50,10 @@ def get_articles(wiki: Wiki, show_id: bool = False, **wanted) -> DataFrame:
         return pages
     pages, size = materialise(pages)
     texts = latest_text(wiki, pages, size).select("page_id", "text")
-    return pages.join(texts, "page_id", "left").select(
-        "page_id", apply_steps(F.coalesce("text", F.lit("")), READER_STEPS).alias("text")
-    )
+    # Settled on ids alone: bodies are joined once and then only cleaned.
+    without = missing_pages(wiki, pages, size).select("page_id", F.lit("").alias("text"))
+    cleaned = texts.select("page_id", apply_steps(F.col("text"), READER_STEPS).alias("text"))
+    return cleaned.unionByName(without)
 
 
 def check_articles(articles: DataFrame, min_length: int = SHORT_TEXT) -> DataFrame:
