@@ -112,8 +112,15 @@ def remove_wiki_links(text: Column, schemes: Sequence[str] = URI_SCHEMES) -> Col
     uri = rf"(?:{'|'.join(schemes)})://{URI_CHARACTERS}+"
     # The target may hold "]": its class excludes only "[" and "|".
     text = F.regexp_replace(text, r"\[\[(?:[^\[|]++\|)?([^\[\]]++)\]\]", "$1")
-    text = F.regexp_replace(text, rf"(?U)\[{uri}\s*([^\]]*+)\]", "$1")
-    return F.regexp_replace(text, uri, "")
+
+    def labels(part: Column) -> Column:
+        # Up to the last "]" every opened link is closed somewhere, so none is
+        # read to the end of the text in vain.
+        tail = F.substring_index(part, "]", -1)
+        closed = F.left(part, F.length(part) - F.length(tail))
+        return F.concat(F.regexp_replace(closed, rf"(?U)\[{uri}+\s*+([^\]]*+)\]", "$1"), tail)
+
+    return F.regexp_replace(let(text, labels), uri, "")
 
 
 def remove_emphasis(text: Column) -> Column:

@@ -477,9 +477,9 @@ def oracle_sql() -> dict[str, str]:
             LINKS, BELOW,
             (
                 "deep",
-                # Bounded by the number of rounds a shortest path can take here.
+                # No shortest path has more steps than there are categories.
                 "SELECT name, 1 AS depth FROM links WHERE parent = 'World' UNION "
-                "SELECT l.name, depth + 1 FROM deep x JOIN links l ON l.parent = x.name WHERE depth < 12",
+                "SELECT l.name, depth + 1 FROM deep x JOIN links l ON l.parent = x.name WHERE depth <= (SELECT count(DISTINCT name) FROM links)",
             ),
         ),
         "subcategory_edges": with_views(

@@ -329,7 +329,7 @@ def random_pages(data: Data) -> DataFrame:
 
 def _asked(data: Data) -> DataFrame:
     """Titles as users write them: spaces, lower case, prefixes, misses."""
-    written = F.replace(F.concat(F.lower(F.substring("page_title", 1, 1)), F.substring("page_title", 2, 1000)), F.lit("_"), F.lit(" "))
+    written = F.replace(F.concat(F.lower(F.substring("page_title", 1, 1)), F.substring("page_title", F.lit(2), F.length("page_title"))), F.lit("_"), F.lit(" "))
     title = (
         F.when(F.col("page_namespace") == 10, F.concat(F.lit("Vorlage:"), written))
         .when(F.col("page_namespace") == 14, F.concat(F.lit("Template:"), written))
@@ -576,8 +576,7 @@ def extract_corpus(data: Data) -> DataFrame:
 def write_member_lists(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "members")
     writers.write_member_lists(categories.page_categories(data.wiki(), all_names(data), MIN_MEMBERS), path)
-    read = data.spark.read.schema("value string, category string").text(path)
-    return read.select("category", F.col("value").alias("page_id"))
+    return data.spark.read.parquet(path).select("category", F.col("page_id").cast("string").alias("page_id"))
 
 
 @query
