@@ -3,44 +3,68 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pagequarry.operators.importing import import_pages
-from pagequarry.sources.dump import PAGE_END, parse_pages, well_formed
+from pagequarry.operators.importing import import_pages, is_number, skip_loaded
+from pagequarry.session import drop_scratch, scratch_path
+from pagequarry.sources.dump import PAGE_END, corrupt_pages, parse_pages, well_formed
 
 
 def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 64) -> DataFrame:
-    """Raw pages of the dump files that appear in ``folder``."""
+    """Raw pages of the dump files that appear in ``folder``, those that are no
+    well-formed XML included (:func:`start_import` sets them aside)."""
     records = (
         spark.readStream.option("lineSep", PAGE_END).option("maxFilesPerTrigger", files_per_batch).text(folder)
     )
-    return well_formed(parse_pages(records))
+    return parse_pages(records)
 
 
 def start_import(
     raw: DataFrame, namespaces: DataFrame, base: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
-    """Import every batch into ``base``.
+    """Import every batch into ``base``: page, revision and text, the rejected
+    rows, and the source of pages that are no well-formed XML (``corrupt``).
 
-    A batch has its own folder and replaces it as a whole, so a batch run again
-    after a failure leaves no row twice. ``once`` takes what is there and ends.
+    A page that another batch holds, or that comes twice in one, is not taken
+    again. A batch has its own folder and replaces it as a whole, so a batch run
+    again after a failure leaves no row twice. Its pages are staged as Parquet
+    in the shared folder, for the tables read them more than once. ``once``
+    takes what is there and ends.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # Three tables from one parse of the batch's files.
-        kept = batch.persist()
-        try:
-            imported = import_pages(kept, namespaces)
-            for name in ("page", "revision", "text"):
-                getattr(imported, name).write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
-        finally:
-            kept.unpersist()
+        spark = batch.sparkSession
+        staged = scratch_path(spark, "batch")
+        batch.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
+        held = spark.read.parquet(staged)
+        new = well_formed(held)
+        loaded = _others(spark, base, batch_id)
+        if loaded is not None:
+            new = skip_loaded(new, loaded)
+        # Settled on ids: bodies are not moved for it. Pages without a valid id stay.
+        again = new.where(is_number(F.col("id"))).select("id", "_row")
+        first = again.groupBy("id").agg(F.min("_row").alias("_first"))
+        repeats = again.join(first, "id").where(F.col("_row") != F.col("_first")).select("_row")
+        imported = import_pages(new.join(repeats, "_row", "left_anti").drop("_row"), namespaces)
+        parts = {name: getattr(imported, name) for name in ("page", "revision", "text", "rejected")}
+        for name, rows in {**parts, "corrupt": corrupt_pages(held)}.items():
+            rows.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
+        drop_scratch(spark, staged)
 
     writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     writer = writer.trigger(availableNow=True) if once else writer
     return writer.start()
 
 
+def _others(spark: SparkSession, base: str, batch_id: int) -> DataFrame | None:
+    """``page_id`` of the pages of other batches, if there are any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/page")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.parquet(f"{base}/page").where(F.col("batch") != batch_id).select("page_id")
+
+
 def imported_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """All batches of one table."""
     return spark.read.parquet(f"{base}/{name}").drop("batch")
