@@ -7,9 +7,11 @@ is removed.
 
 Lines with equal sets form a class, and all but the first are removed at once.
 For the classes, tokens are put in one global order from rare to frequent; alike
-sets must share a token among their first ``n - ceil(threshold n) + 1``. Those
+sets must share two tokens among their first ``n - ceil(threshold n) + 2``. Those
 prefixes are joined by token, with the length filter and the positional bound on
-the overlap as join conditions, and what passes is verified on the whole sets.
+the overlap as join conditions, and pairs met twice are verified on the whole
+sets. (Different sets that are alike have two tokens in common at least: the
+threshold is above a half.)
 
 Rarity is counted over all lines in ``COUNTERS`` hashed counters, a table of
 fixed size that goes to every task: any one order keeps the join exact, and a
@@ -30,10 +32,11 @@ from pagequarry.llm.common import stage
 
 THRESHOLD = 0.8
 COUNTERS = 1 << 16
+MIN_TOKENS = 2  # of different sets that can be alike
 
 
 def tokens(line: str = "line") -> Column:
-    return F.array_distinct(F.filter(F.split(F.col(line), "[ \\t\\r]+"), lambda t: t != ""))
+    return F.array_distinct(F.array_remove(F.split(F.translate(F.col(line), "\t\r", "  "), " "), ""))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -44,8 +47,8 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
     """``(doc_id, line_no, line, k1, k2)``; the keys tell token sets apart by two
-    64-bit hashes of the sorted set, and are null without tokens."""
-    ordered = lines.withColumn("set", F.array_sort(tokens()))
+    64-bit hashes of their sorted hashes, and are null without tokens."""
+    ordered = lines.withColumn("set", F.sort_array(F.transform(tokens(), lambda t: F.xxhash64(t))))
     some = F.size("set") > 0
     return ordered.select(
         "doc_id", "line_no", "line",
@@ -59,11 +62,11 @@ def _ceil(amount: Column, share: int, of: int) -> Column:
 
 
 def rarity(firsts: DataFrame) -> bytes:
-    """One byte for each counter: eighths of the binary logarithm of how many
-    tokens fell to it. Of fixed size whatever the lines."""
+    """One byte below 128 for each counter: fourths of the binary logarithm of
+    how many tokens fell to it. Of fixed size whatever the lines."""
     token = firsts.select(F.explode(tokens()).alias("token"))
     counted = token.groupBy(F.pmod(F.xxhash64("token"), F.lit(COUNTERS)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    levels = counted.select("c", F.least(F.round(8 * F.log2("n")), F.lit(254.0)).cast("int").alias("level")).collect()
+    levels = counted.select("c", F.least(F.round(4 * F.log2("n")), F.lit(126.0)).cast("int").alias("level")).collect()
     table = bytearray(COUNTERS)
     for row in levels:
         table[row["c"]] = row["level"] + 1
@@ -74,21 +77,27 @@ def similar_classes(firsts: DataFrame, threshold: float = THRESHOLD) -> DataFram
     """``(number,)`` of classes with a different, earlier class that is alike,
     of ``firsts(number, place, line)``."""
     share = round(100 * threshold)
+    if share <= 50:
+        raise ValueError("the threshold must be above a half")
     levels = F.lit(rarity(firsts))
-    level = lambda t: F.substring(levels, (F.pmod(F.xxhash64(t), F.lit(COUNTERS)) + 1).cast("int"), 1)
-    entries = F.array_sort(F.transform(tokens(), lambda t: F.struct(level(t).alias("level"), F.xxhash64(t).alias("token"))))
+    level = lambda h: F.ascii(F.substring(levels, (F.pmod(h, F.lit(COUNTERS)) + 1).cast("int"), 1).cast("string"))
+    # Level and hash in one number, so that its order is from rare to frequent.
+    entry = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    hashes = F.transform(tokens(), lambda t: F.xxhash64(t))
     n = F.size("sorted")
-    prefix = F.slice("sorted", F.lit(1), n - _ceil(n, share, 100) + 1)
-    heads = firsts.select("number", entries.alias("sorted")).select("number", n.alias("n"), F.posexplode(prefix).alias("at", "entry"))
-    heads = heads.select("number", "n", "at", F.col("entry.token").alias("token"))
+    # One more than alike sets need to share a token: they then share two.
+    prefix = F.slice("sorted", F.lit(1), n - _ceil(n, share, 100) + 2)
+    heads = firsts.select("number", hashes.alias("hashes")).select("number", F.sort_array(F.transform("hashes", entry)).alias("sorted"))
+    heads = heads.where(n >= MIN_TOKENS).select("number", n.alias("n"), F.posexplode(prefix).alias("at", "token"))
     x, y = heads.alias("x"), heads.alias("y")
     fits = (
         (F.col("x.token") == F.col("y.token")) & (F.col("x.number") < F.col("y.number"))
-        # Lengths, then what can still be shared from the token's place on.
+        # Lengths, then what can be shared: a token before, and those from its place on.
         & (F.col("x.n") * 100 >= F.col("y.n") * share) & (F.col("y.n") * 100 >= F.col("x.n") * share)
-        & (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= _ceil(F.col("x.n") + F.col("y.n"), share, 100 + share))
+        & (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + 1 >= _ceil(F.col("x.n") + F.col("y.n"), share, 100 + share))
     )
-    pairs = x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two")).distinct()
+    pairs = x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two"))
+    pairs = pairs.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.col("one").alias("number")).union(pairs.select("two")).distinct()
     sets = stage(firsts.join(ids.hint("merge"), "number", "left_semi").select("number", "place", tokens().alias("tokens")), "sets")
