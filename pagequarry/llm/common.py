@@ -41,6 +41,29 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+_HELD: dict = {}
+
+
+def held_by_worker(kind: str, token: object, make: Callable[[], object]):
+    """What ``make`` builds, kept in this Python worker for later tasks of the
+    same kind and token; what another operator kept there is let go."""
+    if _HELD.get("kind") != kind or _HELD.get("token") is not token:
+        _HELD.clear()
+        _HELD.update(kind=kind, token=token, value=make())
+    return _HELD["value"]
+
+
+def release_worker() -> None:
+    """Let go of what operators before kept in this Python worker."""
+    _HELD.clear()
+
+
+def small_batches(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in stream:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new folder in the shared place and read back.
 

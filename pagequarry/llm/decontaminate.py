@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import text_bytes
+from pagequarry.llm.common import held_by_worker, small_batches, text_bytes
 
 WIDTH = 10
 SHARD_BYTES = 32 << 20
@@ -96,23 +96,22 @@ def _char_offsets(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int
     return [(int(chars[edges[2 * a]]), int(chars[edges[2 * b - 1]])) for a, b in runs]
 
 
-_BUILT: dict = {}  # automaton of the broadcast last used by this worker
-
-
 def _automaton(shared):
     """Built once per worker process from the broadcast windows."""
-    if shared.value is not _BUILT.get("pairs"):
-        import ahocorasick
+    return held_by_worker("decontaminate", shared.value, lambda: _built(shared.value))
+
 
-        items: dict[str, list[int]] = {}
-        for window, item in shared.value:
-            items.setdefault(window, []).append(item)
-        built = ahocorasick.Automaton()
-        for window, ids in items.items():
-            built.add_word(f" {window} ", (len(window) + 2, window.count(" ") + 1, ids))
-        built.make_automaton()
-        _BUILT.update(pairs=shared.value, automaton=built)
-    return _BUILT["automaton"]
+def _built(pairs: list[tuple[str, int]]):
+    import ahocorasick
+
+    items: dict[str, list[int]] = {}
+    for window, item in pairs:
+        items.setdefault(window, []).append(item)
+    built = ahocorasick.Automaton()
+    for window, ids in items.items():
+        built.add_word(f" {window} ", (len(window) + 2, window.count(" ") + 1, ids))
+    built.make_automaton()
+    return built
 
 
 def _scan(docs: DataFrame, pairs: list[tuple[str, int]], only_hits: bool) -> DataFrame:
@@ -120,7 +119,7 @@ def _scan(docs: DataFrame, pairs: list[tuple[str, int]], only_hits: bool) -> Dat
 
     def scan(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_by = _automaton(shared).iter if shared.value else lambda _: ()
-        for batch in stream:
+        for batch in small_batches(stream):
             rows = []
             for doc, mark, text in zip(*(batch[n].to_pylist() for n in ("doc_id", "fingerprint", "text"))):
                 words = words_of(text)
@@ -222,7 +221,7 @@ def _drop_hits(docs: DataFrame, pairs: list[tuple[str, int]]) -> DataFrame:
 
     def drop(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_by = _automaton(shared).iter if shared.value else lambda _: iter(())
-        for batch in stream:
+        for batch in small_batches(stream):
             clean = []
             for text in batch["text"].to_pylist():
                 words = words_of(text)

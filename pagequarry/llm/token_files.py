@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import batches, shared_files, write_file
+from pagequarry.llm.common import batches, held_by_worker, shared_files, write_file
 
 NULL_ID = -(1 << 63)
 CACHED_CHUNKS, CACHED_WORDS = 150_000, 400_000  # in each of two generations of a worker's caches
@@ -169,13 +169,11 @@ class ChunkEncoder:
         return list(map(b"".join, found))
 
 
-_WORKER: dict[str, ChunkEncoder] = {}
+_KIND = object()  # one for each worker process
 
 
 def encoder(path: str) -> ChunkEncoder:
-    if path not in _WORKER:
-        _WORKER[path] = ChunkEncoder(path)
-    return _WORKER[path]
+    return held_by_worker(f"tokens {path}", _KIND, lambda: ChunkEncoder(path))
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 2) -> dict:
@@ -183,7 +181,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     the manifest, also written there: width of an id and, for each part in
     order, its name, documents, ids and the ids before it."""
     path = tokenizer or tokenizer_path()
-    width = 2 if max(encoder(path).vocabulary_size, end_id + 1) <= 1 << 16 else 4
+    width = 2 if max(ChunkEncoder(path).vocabulary_size, end_id + 1) <= 1 << 16 else 4
     kind = f"<u{width}"
     end = np.array([end_id], "<u4").tobytes()
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import text_bytes
+from pagequarry.llm.common import held_by_worker, small_batches, text_bytes
 
 #: The most labelled texts of a class that a fit reads, those smallest by hash.
 SAMPLE = {1: 2500, 0: 7500}
@@ -40,7 +40,7 @@ DICTIONARY_WORDS = 1000
 #: Tried shares of the largest contrast a toxic word must have.
 CUTS = (0.2, 0.27, 0.35, 0.45, 0.6)
 MARKS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
-CACHED_WORDS = 300_000  # in each of two generations of a worker's cache
+CACHED_WORDS = 200_000  # in each of two generations of a worker's cache
 MASK = (1 << 64) - 1
 
 _TO_WORDS = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -200,16 +200,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     return best[1]
 
 
-_WORKER: dict = {}
-
-
 def _scores(shared, texts: list[str | None]) -> np.ndarray:
     model = shared.value
-    if _WORKER.get("model") is not model:
-        _WORKER.update(model=model, space=Distances(model.toxic, model.ordinary))
     if not texts:
         return np.zeros(0)
-    space = _WORKER["space"]
+    space = held_by_worker("toxicity", model, lambda: Distances(model.toxic, model.ordinary))
     return model.score(np.array([features(space.of(words_of(t))) for t in texts]))
 
 
@@ -218,7 +213,7 @@ def score_documents(docs: DataFrame, model: Classifier) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        for batch in small_batches(stream):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(_scores(shared, batch["text"].to_pylist()), pa.float64())], ["doc_id", "score"])
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -231,7 +226,7 @@ def without_toxic(docs: DataFrame, model: Classifier, threshold: float = 0.5) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        for batch in small_batches(stream):
             yield batch.filter(pa.array(_scores(shared, batch["text"].to_pylist()) < threshold, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
