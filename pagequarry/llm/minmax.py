@@ -6,11 +6,11 @@ signature is cut into bands of ``ROWS`` values; two sets of similarity 0.8
 miss each other in all bands with a probability of (1 - 0.8^4)^32 = 5e-8.
 
 Equal sets are one class and only the class representative (smallest doc_id) is
-banded. A bucket links its members to its smallest one; each such link is
-confirmed on the full sets. Where a bucket still holds members of different
-components, those pairs between components are confirmed too, so a bucket of
-copies costs a link for each copy and not each pair, and no linked pair that
-shares a bucket is passed over.
+banded. A bucket links its members to the one that meets most others; each such
+link is confirmed on the full sets. Where the members of a centre's buckets are
+still in different components, tasks compare those components in blocks and
+return spanning links. So a bucket of copies costs a link for each copy and not
+each pair, and no linked pair that shares a bucket is passed over.
 
 Cases: null, empty and blank texts have an empty set and link with nothing; a
 text of one word is its own single shingle; rows with the same doc_id are one
@@ -24,17 +24,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import batches, stage
+from pagequarry.llm.common import batches, release_worker, small_batches, stage
 from pagequarry.llm.components import components
 from pagequarry.llm.shingles import mix, pieces, shingle_sets
 
 PERMUTATIONS = 64
 ROWS = 4
 SEED = 20240501
+BLOCK = 256
 
 
 def _constants(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +72,8 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def sign(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        release_worker()
+        for batch in small_batches(stream):
             ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             for cut in pieces([len(t or "") for t in texts]):
                 sets = shingle_sets(texts[cut], words)
@@ -98,14 +101,15 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def make(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        release_worker()
+        for batch in small_batches(stream):
             names, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             for cut in pieces([len(t or "") for t in texts]):
                 sets = shingle_sets(texts[cut], words)
                 yield pa.RecordBatch.from_arrays([pa.array(names[cut], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return chosen.join(ids, "id", "left_semi").mapInArrow(make, "id long, set binary")
+    return chosen.join(ids.hint("merge"), "id", "left_semi").mapInArrow(make, "id long, set binary")
 
 
 def linked(one: bytes, other: bytes, threshold: float) -> bool:
@@ -135,7 +139,74 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
     one = sets.select(F.col("id").alias("a"), F.col("set").alias("one"))
     other = sets.select(F.col("id").alias("b"), F.col("set").alias("other"))
-    return pairs.join(one, "a").join(other, "b").mapInArrow(confirm, "a long, b long")
+    return pairs.join(one.hint("merge"), "a").join(other.hint("merge"), "b").mapInArrow(confirm, "a long, b long")
+
+
+def _crossing(members: DataFrame, found: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between different components among the members of a
+    centre's buckets, spanning ones only.
+
+    The centre's own component and the others are cut into blocks of about
+    ``BLOCK`` members; others meet every block, the centre's component only
+    theirs. A task compares two blocks by one product of incidence matrices.
+    """
+    of = found.select(F.col("id").alias("_id"), "component")
+    named = members.select("centre", "rep").distinct().join(of.hint("merge"), F.col("rep") == F.col("_id"), "left").drop("_id")
+    named = named.withColumn("component", F.coalesce("component", "rep"))
+    main = named.where("rep = centre").select("centre", F.col("component").alias("main"))
+    named = named.join(main.hint("merge"), "centre").withColumn("other", F.col("component") != F.col("main"))
+    counts = named.groupBy("centre").agg(F.count_if("other").alias("others"), F.count_if(~F.col("other")).alias("mains"))
+    blocks = lambda n: F.ceil(F.col(n) / F.lit(BLOCK))
+    counts = counts.where("others > 0 and others + mains > 2").select("centre", blocks("mains").alias("m"), blocks("others").alias("o"))
+    dealt = named.join(counts.hint("merge"), "centre").withColumn(
+        "block", F.when(F.col("other"), F.col("m") + F.pmod(F.xxhash64("rep"), F.col("o"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("m")))
+    )
+    first = F.when(F.col("other"), F.lit(0)).otherwise(F.col("m")).cast("long")
+    met = dealt.withColumn("with", F.explode(F.sequence(first, F.col("m") + F.col("o") - 1)))
+    met = met.select("centre", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "rep", "component")
+    full = met.join(sets.withColumnRenamed("id", "rep").hint("merge"), "rep")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        release_worker()
+        return pd.DataFrame(spanning_links(frame["rep"].tolist(), frame["component"].tolist(), list(frame["set"]), threshold), columns=["a", "b"], dtype=np.int64)
+
+    return full.groupBy("centre", "x", "y").applyInPandas(compare, "a long, b long")
+
+
+def spanning_links(names: list[int], components: list[int], held: list[bytes], threshold: float) -> list[tuple[int, int]]:
+    """Links between different components that join what all of them join."""
+    arrays = [np.frombuffer(h, np.uint64) for h in held]
+    sizes = np.array([len(x) for x in arrays])
+    owner = np.repeat(np.arange(len(arrays)), sizes)
+    _, element, times = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
+    shared = times[element] > 1
+    owner, element = owner[shared], element[shared]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], np.unique(element[order], return_inverse=True)[1]
+    common = np.zeros((len(arrays), len(arrays)), np.float32)
+    width = 4096
+    for start in range(0, int(element[-1]) + 1 if len(element) else 0, width):
+        a, b = np.searchsorted(element, [start, start + width])
+        incidence = np.zeros((len(arrays), width), np.float32)
+        incidence[owner[a:b], element[a:b] - start] = 1
+        common += incidence @ incidence.T
+    part = np.array(components)
+    union = sizes[:, None] + sizes[None, :] - common
+    alike = (100 * common >= round(100 * threshold) * union) & (part[:, None] < part[None, :]) & (sizes[:, None] > 0)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(alike))):
+        p, q = root(components[i]), root(components[j])
+        if p != q:
+            parent[p] = q
+            links.append((names[i], names[j]))
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -145,30 +216,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     # A class has one row of keys: that of its smallest doc_id.
     reps = signed.where("keys is not null").join(classes, "digest").where(F.col("doc_id") == F.col("rep")).dropDuplicates(["digest"])
     banded = reps.select("rep", "n_shingles", F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = stage(banded.join(buckets, "key"), "members")
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = stage(banded.join(sizes.hint("merge"), "key"), "shared")
+    # A bucket's centre is the member that meets the most others: near copies
+    # of one text are nearer to the least edited of them than to each other.
+    met = shared.groupBy("rep").agg(F.sum("members").alias("met"))
+    ranked = shared.join(met.hint("merge"), "rep")
+    centres = ranked.groupBy("key").agg(F.max_by("rep", F.struct("met", -F.col("rep"))).alias("centre"))
+    members = stage(shared.join(centres.hint("merge"), "key"), "members")
     ids = members.select(F.col("rep").alias("id")).distinct()
     sets = stage(_sets(docs, ids, words), "sets")
 
-    least = round(100 * threshold)
-    stars = members.where("rep != centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
+    stars = members.where("rep != centre").select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b")).distinct()
     edges = stage(_confirmed(stars, sets, threshold), "links")
 
-    # What is left: members of one bucket in different components.
-    found = components(edges)
-    crowded = members.where("members > 2").join(found, members["rep"] == found["id"], "left").select(
-        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
-    )
-    split = crowded.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-    crowded = stage(crowded.join(split, "key"), "crowded")
-    a, b = crowded.alias("x"), crowded.alias("y")
-    near = (F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * least) & (F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * least)
-    rest = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") > F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & near)
-    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(rest, sets, threshold)
+    more = _crossing(members, components(edges), sets, threshold)
     found = components(edges.unionByName(more))
 
-    placed = signed.drop("keys").join(classes, "digest", "left").join(found, F.col("rep") == F.col("id"), "left")
+    placed = signed.drop("keys").join(classes.hint("merge"), "digest", "left").join(found.hint("merge"), F.col("rep") == F.col("id"), "left")
     component = F.coalesce("component", "rep", "doc_id")
     return placed.select(
         "doc_id", "n_shingles",
