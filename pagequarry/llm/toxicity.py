@@ -16,7 +16,8 @@ Nothing but the text enters a score. Rows whose crc32(doc_id as text) mod 5 is
 
 Cases: null and empty texts have no window and get the calibrated score of
 that; without labels of both classes every score is the share of toxic ones (0
-without any); a doc_id labelled twice is toxic if one label says so; null
+without any). The sample has another share of toxic texts than all labelled ones
+once a bound is met, so each of its rows weighs as many as it stands for. A doc_id labelled twice is toxic if one label says so; null
 labels and doc_ids teach nothing; an empty table gives an empty result; rows
 with the same doc_id stand for themselves; other columns are not read.
 """
@@ -120,31 +121,43 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.1):
-    """Centre, scale, weights and mean log loss of a ridge logistic regression."""
+def _logistic(rows: np.ndarray, labels: np.ndarray, times: np.ndarray, ridge: float = 0.1):
+    """Centre, scale, weights and mean log loss of a ridge logistic regression
+    in which each row counts ``times`` (1 in the mean)."""
     centre, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-9
     x = np.column_stack(((rows - centre) / scale, np.ones(len(rows))))
     weights = np.zeros(x.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        hess = x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(hess, x.T @ (labels - p) - ridge * weights)
+        hess = x.T @ (x * (times * p * (1 - p))[:, None]) + ridge * np.eye(x.shape[1])
+        step = np.linalg.solve(hess, x.T @ (times * (labels - p)) - ridge * weights)
         weights = weights + step
         if np.abs(step).max() < 1e-6:
             break
     p = np.clip(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), 1e-9, 1 - 1e-9)
-    return centre, scale, weights, float(-(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean())
+    return centre, scale, weights, float(-(times * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).mean())
 
 
 def fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 5
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``(doc_id, toxic)`` outside the held-out fold, one row for each doc_id."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    return known.where("doc_id is not null and toxic in (0, 1)").where(fold() != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> dict[int, int]:
+    """Number of texts of each class outside the held-out fold, in all of ``docs``."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    return {r["toxic"]: r["n"] for r in ids.join(known_labels(labels), "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def sampled(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> DataFrame:
     """``(toxic, calibrate, text)`` of at most ``sample`` labelled texts of each
     class outside the held-out fold; two fifths are for calibration."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.where("doc_id is not null and toxic in (0, 1)").where(fold() != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known_labels(labels)
     order = [F.xxhash64("doc_id"), "doc_id"]
     bound = sample or SAMPLE
     chosen = known.where("toxic = 1").orderBy(*order).limit(bound[1]).unionByName(known.where("toxic = 0").orderBy(*order).limit(bound[0]))
@@ -164,10 +177,11 @@ def _word_sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Classifier:
     texts = sampled(docs, labels, sample)
     sizes = {(r["toxic"], r["calibrate"]): r["n"] for r in texts.groupBy("toxic", "calibrate").agg(F.count(F.lit(1)).alias("n")).collect()}
-    positive = sum(n for (t, _), n in sizes.items() if t)
-    total = sum(sizes.values())
+    whole = labelled(docs, labels)
+    total = sum(whole.values())
+    prior = whole.get(1, 0) / total if total else 0.0
     if any(not sizes.get((t, c)) for t in (0, 1) for c in (True, False)):
-        return Classifier(prior=positive / total if total else 0.0)
+        return Classifier(prior)
     na, nb = sizes[1, False], sizes[0, False]
     counted = texts.where("not calibrate").select("toxic", "text").mapInArrow(_word_sets, "toxic int, word binary").groupBy("word").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
@@ -178,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     toxic = [(bytes(r["word"]), r["z"]) for r in scored.where("z > 0 and a >= 3").orderBy(F.desc("z"), "word").limit(DICTIONARY_WORDS).collect()]
     usual = [bytes(r["word"]) for r in counted.orderBy(F.desc("b"), "word").limit(DICTIONARY_WORDS).collect()]
     if not toxic:
-        return Classifier(prior=positive / total)
+        return Classifier(prior)
     tried = [[w for w, z in toxic if z >= cut * toxic[0][1]] for cut in CUTS]
     pairs = [(t, [w for w in usual if w not in set(t)]) for t in tried]
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
@@ -192,11 +206,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     # A few numbers for each text of the bounded sample.
     measured = texts.where("calibrate").select("toxic", "text").mapInArrow(measure, "toxic int, rows array<array<double>>").collect()
     truth = np.array([r["toxic"] for r in measured], np.float64)
+    stands_for = [whole[t] / (sizes[t, True] + sizes[t, False]) for t in (0, 1)]
+    times = np.where(truth == 1, stands_for[1], stands_for[0])
+    times /= times.mean()
     best: tuple[float, Classifier] | None = None
     for n, (words, others) in enumerate(pairs):
-        centre, scale, weights, loss = _logistic(np.array([r["rows"][n] for r in measured]), truth)
+        centre, scale, weights, loss = _logistic(np.array([r["rows"][n] for r in measured]), truth, times)
         if best is None or loss < best[0]:
-            best = loss, Classifier(positive / total, words, others, centre, scale, weights)
+            best = loss, Classifier(prior, words, others, centre, scale, weights)
     return best[1]
 
 

@@ -164,6 +164,27 @@ def test_toxicity_without_both_classes(spark, documents):
     assert toxicity.score_documents(empty, toxicity.train(empty, spark.createDataFrame([], "doc_id long, toxic int"))).collect() == []
 
 
+def test_sample_bounds_leave_scores_as_they_are(spark, documents):
+    random = np.random.default_rng(12)
+    plain = [f"{a}{b}" for a in ("the", "on", "er", "in") for b in ("ha", "ti", "re", "ou", "st")]
+    docs, labels = [], []
+    for doc in range(2500):
+        words, toxic = list(random.choice(plain, 30)), int(random.random() < 0.15)
+        if random.random() < (0.8 if toxic else 0.26):  # a third of the texts with it are toxic
+            words[3] = "dubious"
+        docs.append((doc, " ".join(words)))
+        labels.append((doc, toxic))
+    frame, known = documents(docs), spark.createDataFrame(labels, "doc_id long, toxic int")
+    share = np.mean([t for d, t in labels if zlib.crc32(str(d).encode()) % 5])
+    whole, part = (toxicity.train(frame, known, s) for s in ({1: 10**6, 0: 10**6}, {1: 200, 0: 200}))
+    assert abs(whole.prior - share) < 1e-12 and abs(part.prior - share) < 1e-12
+    scores = [{r.doc_id: r for r in toxicity.score_documents(frame, m).collect()} for m in (whole, part)]
+    assert np.mean([scores[0][d].predicted == scores[1][d].predicted for d, _ in docs]) > 0.97
+    assert abs(np.mean([scores[1][d].score for d, _ in docs]) - share) < 0.05
+    # Also where nothing can be learned from the sample.
+    assert abs(toxicity.train(frame, known, {1: 1, 0: 1}).prior - share) < 1e-12
+
+
 def test_dictionaries_tell_words_apart():
     space = toxicity.Distances([b"scumbag"], [b"thehand"])
     far = space.of([b"scumbag", b"thehand", b"other"])
