@@ -36,10 +36,12 @@ from pagequarry.llm.common import held_by_worker, small_batches, text_bytes
 
 #: The most labelled texts of a class that a fit reads, those smallest by hash.
 SAMPLE = {1: 2500, 0: 7500}
-#: The most words of a dictionary.
-DICTIONARY_WORDS = 1000
-#: Tried shares of the largest contrast a toxic word must have.
-CUTS = (0.2, 0.27, 0.35, 0.45, 0.6)
+#: The most words of the ordinary dictionary, those in most texts.
+ORDINARY_WORDS = 1000
+#: Tried bounds of a toxic word's significance: the likelihood ratio statistic
+#: of its occurrence by class (one degree of freedom; the first is p = 0.01).
+CUTS = (6.63, 10.83, 20.0, 40.0, 80.0, 160.0)
+FOLDS = 5
 MARKS = (0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
 CACHED_WORDS = 200_000  # in each of two generations of a worker's cache
 MASK = (1 << 64) - 1
@@ -73,8 +75,14 @@ class Distances:
     def _compressor(words: list[bytes]):
         import zstandard
 
-        held = zstandard.ZstdCompressionDict(b"".join(map(recoded, words)) or bytes(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return zstandard.ZstdCompressor(level=3, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+        raw = b"".join(map(recoded, words)) or bytes(8)
+        held = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        # Tables and window as large as the dictionary needs, or words at its start are forgotten.
+        log = max(17, len(raw).bit_length() + 1)
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            3, window_log=max(21, log), hash_log=log, chain_log=log, write_content_size=False, write_checksum=False, write_dict_id=False
+        )
+        return zstandard.ZstdCompressor(dict_data=held, compression_params=settings)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         young = self.young
@@ -122,8 +130,8 @@ class Classifier:
 
 
 def _logistic(rows: np.ndarray, labels: np.ndarray, times: np.ndarray, ridge: float = 0.1):
-    """Centre, scale, weights and mean log loss of a ridge logistic regression
-    in which each row counts ``times`` (1 in the mean)."""
+    """Centre, scale and weights of a ridge logistic regression in which each
+    row counts ``times`` (1 in the mean)."""
     centre, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-9
     x = np.column_stack(((rows - centre) / scale, np.ones(len(rows))))
     weights = np.zeros(x.shape[1])
@@ -134,8 +142,29 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, times: np.ndarray, ridge: fl
         weights = weights + step
         if np.abs(step).max() < 1e-6:
             break
-    p = np.clip(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), 1e-9, 1 - 1e-9)
-    return centre, scale, weights, float(-(times * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).mean())
+    return centre, scale, weights
+
+
+def _loss(rows: np.ndarray, labels: np.ndarray, times: np.ndarray) -> float:
+    """Mean log loss on folds that the regression did not see."""
+    fold, lost = np.arange(len(labels)) % FOLDS, 0.0
+    for n in range(FOLDS):
+        out = fold == n
+        if out.any() and not out.all():
+            centre, scale, weights = _logistic(rows[~out], labels[~out], times[~out])
+            p = np.clip(Classifier(0.0, [], [], centre, scale, weights).score(rows[out]), 1e-9, 1 - 1e-9)
+            lost -= float((times[out] * (labels[out] * np.log(p) + (1 - labels[out]) * np.log(1 - p))).sum())
+    return lost / len(labels)
+
+
+def significance(a, b, na: int, nb: int):
+    """Twice the log likelihood ratio of a word that is in ``a`` of ``na`` toxic
+    and ``b`` of ``nb`` ordinary texts, against one share for both."""
+    n, out = float(na + nb), F.lit(0.0)
+    for seen, of in ((a, na), (b, nb), (F.lit(na) - a, na), (F.lit(nb) - b, nb)):
+        both = a + b if seen is a or seen is b else F.lit(n) - a - b
+        out = out + F.when(seen > 0, seen * F.log(seen / (both * F.lit(of / n)))).otherwise(0.0)
+    return 2 * out
 
 
 def fold(column: str = "doc_id"):
@@ -186,15 +215,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
     counted = texts.where("not calibrate").select("toxic", "text").mapInArrow(_word_sets, "toxic int, word binary").groupBy("word").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
     )
-    mean = (F.col("a") + F.col("b")) / F.lit(na + nb)
-    spread = F.sqrt(mean * (1 - mean) * F.lit(1 / na + 1 / nb) + 1e-12)
-    scored = counted.withColumn("z", (F.col("a") / F.lit(na) - F.col("b") / F.lit(nb)) / spread)
-    toxic = [(bytes(r["word"]), r["z"]) for r in scored.where("z > 0 and a >= 3").orderBy(F.desc("z"), "word").limit(DICTIONARY_WORDS).collect()]
-    usual = [bytes(r["word"]) for r in counted.orderBy(F.desc("b"), "word").limit(DICTIONARY_WORDS).collect()]
+    a, b = F.col("a"), F.col("b")
+    scored = counted.withColumn("g", significance(a, b, na, nb)).where((a * nb > b * na) & (F.col("g") >= CUTS[0]))
+    # Only words that tell the classes apart, of a bounded number of texts.
+    toxic = [(bytes(r["word"]), r["g"]) for r in scored.orderBy(F.desc("g"), "word").select("word", "g").collect()]
+    usual = [bytes(r["word"]) for r in counted.orderBy(F.desc("b"), "word").limit(ORDINARY_WORDS).collect()]
     if not toxic:
         return Classifier(prior)
-    tried = [[w for w, z in toxic if z >= cut * toxic[0][1]] for cut in CUTS]
-    pairs = [(t, [w for w in usual if w not in set(t)]) for t in tried]
+    # Lists of one length are one list: each is the start of the next longer one.
+    tried = [toxic[:n] for n in sorted({sum(g >= cut for _, g in toxic) for cut in CUTS} - {0})]
+    known = [{w for w, _ in t} for t in tried]
+    pairs = [([w for w, _ in t], [w for w in usual if w not in k]) for t, k in zip(tried, known)]
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def measure(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,15 +236,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = No
 
     # A few numbers for each text of the bounded sample.
     measured = texts.where("calibrate").select("toxic", "text").mapInArrow(measure, "toxic int, rows array<array<double>>").collect()
+    measured.sort(key=lambda r: (r["toxic"], r["rows"]))  # the same folds in each run
     truth = np.array([r["toxic"] for r in measured], np.float64)
     stands_for = [whole[t] / (sizes[t, True] + sizes[t, False]) for t in (0, 1)]
     times = np.where(truth == 1, stands_for[1], stands_for[0])
     times /= times.mean()
     best: tuple[float, Classifier] | None = None
     for n, (words, others) in enumerate(pairs):
-        centre, scale, weights, loss = _logistic(np.array([r["rows"][n] for r in measured]), truth, times)
+        rows = np.array([r["rows"][n] for r in measured])
+        loss = _loss(rows, truth, times)
         if best is None or loss < best[0]:
-            best = loss, Classifier(prior, words, others, centre, scale, weights)
+            best = loss, Classifier(prior, words, others, *_logistic(rows, truth, times))
     return best[1]
 
 

@@ -185,6 +185,29 @@ def test_sample_bounds_leave_scores_as_they_are(spark, documents):
     assert abs(toxicity.train(frame, known, {1: 1, 0: 1}).prior - share) < 1e-12
 
 
+def test_rare_toxic_words_are_known(spark, documents):
+    random = np.random.default_rng(5)
+    plain = [f"{a}{b}" for a in ("the", "on", "er", "in") for b in ("ha", "ti", "re", "ou", "st")]
+    docs, labels, rare = [], [], set()
+    for doc in range(2000):
+        words, toxic = list(random.choice(plain, 30)), int(random.random() < 0.25)
+        if toxic:
+            words[3] = "zafio" if random.random() < 0.035 else "scumbag"
+            rare |= {doc} if words[3] == "zafio" else set()
+        docs.append((doc, " ".join(words)))
+        labels.append((doc, toxic))
+    frame = documents(docs)
+    model = toxicity.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {b"scumbag", b"zafio"} <= set(model.toxic)
+    assert all(r.predicted for r in toxicity.score_documents(frame, model).collect() if r.doc_id in rare)
+
+
+def test_large_dictionaries_forget_no_word():
+    random = np.random.default_rng(1)
+    words = [bytes(random.integers(97, 123, 8, dtype=np.uint8)) for _ in range(20_000)]
+    assert (toxicity.Distances(words, [b"other"]).of(words) > 0.6).all()
+
+
 def test_dictionaries_tell_words_apart():
     space = toxicity.Distances([b"scumbag"], [b"thehand"])
     far = space.of([b"scumbag", b"thehand", b"other"])
