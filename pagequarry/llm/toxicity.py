@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on a bounded sample of labelled texts:
-one of the words typical of toxic texts, one of those usual in ordinary texts.
+Two zstandard dictionaries are filled with single words of a bounded sample of
+labelled texts: one with the words significantly more often in toxic texts, one
+with those usual in ordinary texts. Phrases and digits are not seen.
 A text is cut into windows, one for each word; the distance of a window is the
 length it compresses to with the ordinary dictionary less that with the toxic
 one, over its own length. Before compression a letter is recoded as the eight
