@@ -14,7 +14,7 @@ each pair, and no linked pair that shares a bucket is passed over.
 
 Cases: null, empty and blank texts have an empty set and link with nothing; a
 text of one word is its own single shingle; rows with the same doc_id are one
-vertex; a null doc_id links with nothing and has a null component; an empty
+vertex, so what any of them is alike joins one component; a null doc_id links with nothing and has a null component; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -227,8 +227,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     ids = members.select(F.col("rep").alias("id")).distinct()
     sets = stage(_sets(docs, ids, words), "sets")
 
+    # Rows of one doc_id in several classes: their vertex joins the classes.
+    named = signed.where("keys is not null").select("doc_id", "digest")
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x != y").select("doc_id")
+    one = named.join(several.hint("merge"), "doc_id").join(classes.hint("merge"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
     stars = members.where("rep != centre").select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b")).distinct()
-    edges = stage(_confirmed(stars, sets, threshold), "links")
+    edges = stage(_confirmed(stars, sets, threshold).unionByName(one), "links")
 
     more = _crossing(members, components(edges), sets, threshold)
     found = components(edges.unionByName(more))
@@ -245,8 +250,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
 def one_of_each(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """Rows of ``docs``, one for each group of near duplicates, columns as given.
 
-    Of rows with the same doc_id one stays; rows with a null one all do."""
-    kept = near_duplicates(docs, words, threshold).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_doc"), F.struct("*").alias("_row"))
-    chosen = named.join(kept.hint("merge"), F.col("_doc") == F.col("_kept"), "left_semi").dropDuplicates(["_doc"]).select("_row.*")
-    return chosen.unionByName(docs.where("doc_id is null"))
+    A doc_id is one document: of its rows with words the first by text, then by
+    all columns, stands for the group. Rows without words and rows with a null
+    doc_id are in no group and all stay."""
+    found = near_duplicates(docs, words, threshold).where("kept and doc_id is not null and n_shingles > 0")
+    kept = found.groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    text, whole = F.col("text").cast("string"), F.struct("*")
+    grouped = F.col("doc_id").cast("long").isNotNull() & F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    named = docs.where(grouped).select(F.col("doc_id").cast("long").alias("_doc"), text.alias("_text"), whole.alias("_row"))
+    joined = named.join(kept.hint("merge"), F.col("_doc") == F.col("_kept"))
+    order = F.when(F.col("_rows") > 1, F.struct("_text", F.to_json("_row"))).otherwise(F.struct(F.lit("").alias("_text"), F.lit("")))
+    chosen = joined.groupBy("_doc").agg(F.min_by("_row", order).alias("_row")).select("_row.*")
+    return chosen.unionByName(docs.where(~grouped))

@@ -123,6 +123,16 @@ def test_near_duplicates_odd_rows(documents, rows):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == ["1", "None", "None"] and kept.columns == documents(docs).columns
 
 
+def test_rows_of_one_doc_id_are_one_vertex(documents, rows):
+    docs = [(5, "x y z"), (5, "p q r"), (3, "x y z"), (4, "p q r"), (9, "l m n"), (9, "i j k"), (9, "l m n"), (10, ""), (10, None), (10, "a b"), (11, " ")]
+    got = rows(minmax.near_duplicates(documents(docs), 2).select("doc_id", "component_id", "kept").where("doc_id < 10"))
+    assert got == [(3, 3, True), (4, 3, False), (5, 3, False), (5, 3, False), (9, 9, True), (9, 9, True), (9, 9, True)]
+    for parts in (1, 5):
+        for order in (docs, docs[::-1]):
+            kept = minmax.one_of_each(documents(order).repartition(parts), 2)
+            assert rows(kept.select("doc_id", "text")) == sorted([(3, "x y z"), (9, "i j k"), (10, ""), (10, None), (10, "a b"), (11, " ")], key=repr)
+
+
 def test_signatures_estimate_similarity():
     one, two = (set(range(0, 900)), set(range(100, 1000)))
     text = lambda s: " ".join(f"t{n}" for n in sorted(s))
