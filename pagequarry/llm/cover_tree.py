@@ -35,7 +35,9 @@ from pagequarry.llm.components import components
 
 BLOCK = 1024
 PIVOTS = 8
-SLACK = 1e-9  # of a distance; decides only whether a pair is measured
+#: Of a distance, more than rounding takes from two radii (1.5e-8 and more may
+#: come out as 0); decides only whether a pair is measured.
+SLACK = 1e-7
 
 
 def reach(threshold: float) -> float:

@@ -80,6 +80,17 @@ def test_tree_prunes_and_nests():
         radius /= 2
 
 
+def test_pairs_beside_copies_that_differ_in_the_last_bits():
+    edge = 2 * np.arcsin(cover_tree.reach(0.98) / 2)
+    at = lambda *angles: np.array([[np.cos(x), np.sin(x)] for x in angles])
+    one, other = at(0.0, 1e-8), at(edge + 5e-9)  # the copy is within 0.98 of the other, the first is not
+    counts, links = cover_tree._match(cover_tree.CoverTree(one, 0.05), cover_tree.CoverTree(other, 0.05), 0.98, False)
+    assert sorted(counts) == [0, 1, 1] and len(links) == 1
+    one, other = at(0.0, -1e-8), at(edge - 5e-9)  # the other way round
+    counts, _ = cover_tree._match(cover_tree.CoverTree(one, 0.05), cover_tree.CoverTree(other, 0.05), 0.98, False)
+    assert sorted(counts) == [0, 1, 1]
+
+
 def plain_sets(text, words):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     if not w:
