@@ -1,8 +1,8 @@
 """DuckDB SQL for the operators that SQL can express, over whole tables.
 
-Token files (a tokenizers library), repeated bytes (windows of bytes), the
-trained classifier and the pipeline have none; tests hold them against plain
-versions.
+Token files and token alignment (tokenizers libraries), repeated bytes (windows
+of bytes), the trained classifier and the pipeline have none; tests hold them
+against plain versions.
 """
 
 from __future__ import annotations
@@ -133,6 +133,34 @@ SELECT doc_id, line_no::BIGINT AS line_no, coalesce((doc_id, line_no) <> place,
 FROM sets LEFT JOIN firsts USING (s) LEFT JOIN later ON later.number = firsts.number
 """
 
+_OP11 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+_OP13 = """
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+p AS (SELECT row_number() OVER () AS n, page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+best AS (SELECT n, arg_max(r.host || r.path, len(r.host || r.path)) AS rule, arg_max(verdict, len(r.host || r.path)) AS verdict
+  FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN best USING (n)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": _OP1,
     "op3_warc_archive": _OP3,
@@ -141,4 +169,6 @@ ORACLES: dict[str, str] = {
     "op7_chat_snapshots": _OP7,
     "op8_minmax_near_duplicates": _OP8,
     "op9_line_similarity": _OP9,
+    "op11_hard_negatives": _OP11,
+    "op13_url_rules": _OP13,
 }

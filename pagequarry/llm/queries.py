@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagequarry.llm import chat, cover_tree, decontaminate, lines, minmax, mixing, repeats, token_files, toxicity, warc
+from pagequarry.llm import (
+    alignment, chat, cover_tree, decontaminate, lines, minmax, mixing, negatives, repeats, token_files, toxicity, url_rules, warc,
+)
 from pagequarry.llm.common import table
 from pagequarry.session import scratch_path
 
@@ -54,10 +57,34 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, table(spark, folder, "labels")))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", changed))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(table(spark, folder, "documents"))
+
+
+#: The rules of the query, as host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op13_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, folder, "pages"), url_rules.listed_rules(spark, URL_RULES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_token_files, op3_warc_archive, op4_temperature_mixing, op5_cover_tree_pairs,
         op6_run_length_repeats, op7_chat_snapshots, op8_minmax_near_duplicates, op9_line_similarity, op10_toxicity,
+        op11_hard_negatives, op12_token_alignment, op13_url_rules,
     )
 }
