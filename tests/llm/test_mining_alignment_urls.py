@@ -88,6 +88,19 @@ def sides():
     return alignment.ByteSide(path("byte_bpe_50k.json")), alignment.PieceSide(path("piece_bpe_32k.model"))
 
 
+def test_ranked_ids_are_the_librarys(sides):
+    """Texts of Latin-1 letters, every pair of them and random ones."""
+    side, rng = sides[0], random.Random(6)
+    assert side.ranked is not None
+    letters = [chr(n) for n in range(256)]
+    texts = ["".join(a + b + rng.choice("a 1!\n") for b in letters) for a in letters]
+    words = ["the", "'s", "'LL", "don't", "x1", "12", "...", "<|endoftext|>", *letters, *" \n\t\r\x0b\x1c\x85\xa0" * 8]
+    texts += ["".join(rng.choice(words) for _ in range(rng.randint(1, 80))) for _ in range(3000)]
+    want = [e.ids for e in side.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert side.encode(texts) == want
+    assert all(map(alignment.latin, texts)) and not alignment.latin("œ")
+
+
 def plain_alignment(sides, texts):
     """Groups by their byte ranges, links by overlap of groups, one by one."""
     rows, held = [], []
