@@ -30,7 +30,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,9 @@ from pagequarry.llm.common import held_by_worker, stage
 from pagequarry.llm.token_files import tokenizer_path
 from pagequarry.scale import measure
 
-PIECE = 1 << 18  # characters encoded at once
-KEPT_WINDOWS, KEPT_BYTES = 250_000, 16 << 20  # windows a worker keeps, and the bytes of their ids
+PIECE = 1 << 17  # characters encoded at once
+KEPT_WINDOWS, KEPT_BYTES = 60_000, 16 << 20  # windows a worker keeps, and the bytes of their ids
+SHORT = 100  # characters of a string given to the sentencepiece library, about
 PRODUCT = 4096  # links of one group that are listed one by one
 HEAD_ROWS = 500_000
 
@@ -118,6 +119,16 @@ def latin(text: str) -> bool:
     return True
 
 
+def cut_between_words(text: str, size: int) -> list[str]:
+    """``text`` cut at spaces between letters, which are left out, into parts of
+    about ``size`` characters."""
+    out, start = [], 0
+    while len(text) - start > size and (cut := _LETTERS.search(text, start + size)):
+        out.append(text[start : cut.start()])
+        start = cut.end()
+    return [*out, text[start:]]
+
+
 class PieceSide:
     """Ids of a text, and the bytes of each id, of a sentencepiece model."""
 
@@ -130,7 +141,12 @@ class PieceSide:
         self.parts_words = not any(_MARK in p.lstrip(_MARK) for p in pieces)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+        if not self.parts_words:
+            return self.library.encode(texts, num_threads=1)
+        # The library is faster on short strings; a cut falls between tokens.
+        parts = [cut_between_words(t, SHORT) for t in texts]
+        found = iter(self.library.encode(list(chain.from_iterable(parts)), num_threads=1))
+        return [list(chain.from_iterable(islice(found, len(p)))) for p in parts]
 
 
 class Side:
@@ -209,13 +225,7 @@ class Aligner:
         return code >> self.shift, code & ((1 << self.shift) - 1)
 
     def pieces(self, text: str) -> list[str]:
-        """``text`` cut at spaces, which are left out, into pieces of about
-        ``piece`` characters."""
-        out, start = [], 0
-        while self.whole_words and len(text) - start > self.piece and (cut := _LETTERS.search(text, start + self.piece)):
-            out.append(text[start : cut.start()])
-            start = cut.end()
-        return [*out, text[start:]]
+        return cut_between_words(text, self.piece) if self.whole_words else [text]
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """For each text: tokens of A, of B, groups, links, digest of the
