@@ -7,6 +7,8 @@ are one category.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,39 +49,74 @@ def direct_subcategories(wiki: Wiki, names: DataFrame) -> DataFrame:
     return subcategory_links(wiki).join(broadcast_if_small(parents), "parent")
 
 
-def all_subcategories(wiki: Wiki, roots: DataFrame) -> DataFrame:
-    """``(root, name, page_id, depth)``: everything below the roots.
-
-    A root is in its own result only when a cycle leads back to it.
-    """
-    found, _ = _below(*materialise(_steps(wiki)), stored_names(roots))
-    pages = wiki.page.where(F.col("page_namespace") == wiki.category_namespace).select(
+@dataclass(frozen=True)
+class CategoryGraph:
+    """The category tree in numbers: ``nodes`` (name, node), one row for each
+    name that is a category page or a given root, and ``steps`` (source, target)
+    from a category to those below it. A category is numbered by a page of its
+    name, a root without a page below zero."""
+
+    nodes: DataFrame
+    nodes_size: Size
+    steps: DataFrame
+    steps_size: Size
+
+    @classmethod
+    def of(cls, wiki: Wiki, roots: DataFrame) -> CategoryGraph:
+        """``roots`` are stored, distinct names."""
+        pages = category_titles(wiki)
+        named = pages.groupBy("name").agg(F.min("page_id").alias("node"))
+        alone = roots.join(named, "name", "left_anti").select("name", (-1 - F.monotonically_increasing_id()).alias("node"))
+        nodes, nodes_size = materialise(named.unionByName(alone))
+        above = broadcast_if_small(nodes.select(F.col("name").alias("parent"), F.col("node").alias("source")), nodes_size)
+        below = broadcast_if_small(nodes.select("name", F.col("node").alias("target")), nodes_size)
+        links = subcategory_links(wiki).join(above, "parent").join(below, "name")
+        return cls(nodes, nodes_size, *materialise(links.select("source", "target")))
+
+    def numbered(self, names: DataFrame) -> DataFrame:
+        return names.join(broadcast_if_small(self.nodes, self.nodes_size), "name").select("node")
+
+    def named(self, nodes: DataFrame, column: str) -> DataFrame:
+        """``nodes`` with the numbers of a column replaced by names."""
+        names = self.nodes.select(F.col("node").alias(column), F.col("name").alias("_name"))
+        return nodes.join(broadcast_if_small(names, self.nodes_size), column).withColumn(column, F.col("_name")).drop("_name")
+
+    def edges_below(self, root: DataFrame) -> DataFrame:
+        """``(source, target)``: every step met below the root's node."""
+        found, (rows, width) = reach(self.steps, root, self.steps_size)
+        inside = found.select("node").unionByName(root.select("node")).distinct()
+        # One row more than found: the root.
+        parents = broadcast_if_small(inside.withColumnRenamed("node", "source"), (rows + 1, width + MAX_TITLE))
+        return self.steps.join(parents, "source", "left_semi")
+
+
+def category_titles(wiki: Wiki) -> DataFrame:
+    return wiki.page.where(F.col("page_namespace") == wiki.category_namespace).select(
         "page_id", F.col("page_title").alias("name")
     )
-    return found.join(pages, "name").select("root", "name", "page_id", "depth")
 
 
-def _steps(wiki: Wiki) -> DataFrame:
-    return subcategory_links(wiki).select(F.col("parent").alias("source"), F.col("name").alias("target"))
-
+def all_subcategories(wiki: Wiki, roots: DataFrame) -> DataFrame:
+    """``(root, name, page_id, depth)``: everything below the roots.
 
-def _below(steps: DataFrame, size: Size, roots: DataFrame) -> tuple[DataFrame, Size]:
-    start = roots.select(F.col("name").alias("origin"), F.col("name").alias("node"))
-    found, found_size = reach(steps, start, size)
-    return found.select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth"), found_size
+    A root is in its own result only when a cycle leads back to it.
+    """
+    roots = stored_names(roots)
+    graph = CategoryGraph.of(wiki, roots)
+    start = graph.numbered(roots)
+    found, size = reach(graph.steps, start.select(F.col("node").alias("origin"), "node"), graph.steps_size)
+    named = graph.named(graph.named(found, "origin"), "node").select(F.col("origin").alias("root"), F.col("node").alias("name"), "depth")
+    # Every page of the name; there is one, unless titles repeat.
+    return named.join(category_titles(wiki), "name").select("root", "name", "page_id", "depth")
 
 
 def subcategory_edges(wiki: Wiki, root: str) -> DataFrame:
     """``(child, parent)``: every link met below the root, links to categories
     met before included."""
-    steps, size = materialise(_steps(wiki))
     start = named(wiki, root)
-    found, (rows, width) = _below(steps, size, start)
-    inside = found.select("name").unionByName(start).distinct()
-    # One row more than found: the root.
-    parents = broadcast_if_small(inside.withColumnRenamed("name", "parent"), (rows + 1, width + MAX_TITLE))
-    edges = steps.select(F.col("target").alias("child"), F.col("source").alias("parent"))
-    return edges.join(parents, "parent", "left_semi").select("child", "parent")
+    graph = CategoryGraph.of(wiki, start)
+    edges = graph.edges_below(graph.numbered(start)).select(F.col("target").alias("child"), F.col("source").alias("parent"))
+    return graph.named(graph.named(edges, "child"), "parent").select("child", "parent")
 
 
 def category_pages(wiki: Wiki, names: DataFrame, namespace: int | None = None) -> DataFrame:
@@ -116,12 +153,17 @@ def category_counts(wiki: Wiki, names: DataFrame) -> DataFrame:
 
 
 def expand_categories(wiki: Wiki, names: DataFrame, subcategories: bool = True) -> DataFrame:
-    """The given names and, if asked, everything below them; column ``name``."""
+    """The given names and, if asked, everything below them; column ``name``.
+
+    The search holds categories, not pairs with the name they were found from.
+    """
     given = stored_names(names)
     if not subcategories:
         return given
-    below, _ = _below(*materialise(_steps(wiki)), given)
-    return given.unionByName(below.select("name")).distinct()
+    graph = CategoryGraph.of(wiki, given)
+    start, size = materialise(graph.numbered(given))
+    found, _ = reach(graph.steps, start, graph.steps_size)
+    return graph.named(found.select("node").unionByName(start).distinct(), "node").withColumnRenamed("node", "name")
 
 
 def expansion_report(wiki: Wiki, names: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Lookups, categories, hierarchy and skew handling on a small wiki."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,12 +96,7 @@ def test_one_rule_for_long_lists(spark):
     assert [(r.part, len(r.vs)) for r in parts] == [(0, 100_000), (1, 100_000), (2, 30_000)]
 
 
-def test_distances(spark, any_join):
-    import random
-
-    rng = random.Random(3)
-    edges = {(str(rng.randrange(40)), str(rng.randrange(40))) for _ in range(60)}
-    edges |= {(str(i), str(i + 1)) for i in range(50, 75)}
+def distances(edges):
     near = {}
     for start in {e[0] for e in edges}:
         level, depth = {start}, 0
@@ -107,12 +104,63 @@ def test_distances(spark, any_join):
             depth += 1
             level = {b for a, b in edges if a in level} - {n for o, n in near if o == start}
             near.update({(start, n): depth for n in level})
-    links = spark.createDataFrame(sorted(edges), "source string, target string")
-    expected = sorted((o, n, d) for (o, n), d in near.items())
-    assert rows(reach.reach_all(links)) == expected
+    return near
+
+
+def random_edges(seed):
+    rng = random.Random(seed)
+    edges = {(rng.randrange(40), rng.randrange(40)) for _ in range(60)}
+    edges |= {(i, i + 1) for i in range(50, 58)} | {(70, 71), (71, 70), (71, 72), (72, 73), (73, 72), (80, 80)}
+    return edges
+
+
+def test_distances(spark, any_join):
+    edges = random_edges(3)
+    near = distances(edges)
+    links = spark.createDataFrame(sorted(edges), "source long, target long")
+    assert rows(reach.reach_all(links)) == sorted((o, n, d) for (o, n), d in near.items())
     start = links.select(F.col("source").alias("origin"), F.col("source").alias("node")).distinct()
     found, size = reach.reach(links, start)
-    assert rows(found) == expected and size[0] == len(expected)
+    assert rows(found) == sorted((o, n, d) for (o, n), d in near.items()) and size[0] >= len(near)
+    # Several starts, one state: the node with its distance from the nearest.
+    found, _ = reach.reach(links, start.where("node % 5 = 0").select("node"))
+    least = {}
+    for (o, n), d in near.items():
+        if o % 5 == 0:
+            least[n] = min(least.get(n, d), d)
+    assert rows(found) == sorted(least.items())
+
+
+def test_components(spark):
+    edges = random_edges(4)
+    near = distances(edges)
+    want = {}
+    for a, b in near:
+        if a != b and (b, a) in near:
+            want.setdefault(a, {a}).add(b)
+    links = spark.createDataFrame(sorted(edges), "source long, target long")
+    found = {}
+    for node, component in rows(reach.components(*scale.materialise(links))[0]):
+        found.setdefault(component, set()).add(node)
+    assert sorted(map(sorted, found.values())) == sorted({tuple(sorted(v)): sorted(v) for v in want.values()}.values())
+    assert len(found) >= 3
+    # Only what the origins reach, cycles spelt out.
+    some = spark.createDataFrame([(70,), (80,), (55,), (999,)], "node long")
+    assert rows(reach.ancestors(*scale.materialise(links), some)) == sorted(p for p in near if p[0] in (70, 80, 55))
+    lines = links.where("source >= 50 and source < 58")
+    assert reach.components(*scale.materialise(lines))[0].count() == 0
+
+
+def test_a_long_chain_does_not_read_all_rounds_each_round(spark, monkeypatch):
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(reach, "STEPS", 1)
+    monkeypatch.setattr(reach, "RUNS", 2)
+    length = 40
+    links = spark.createDataFrame([(i, i + 1) for i in range(length)] + [(length, length - 3)], "source long, target long").coalesce(1)
+    found = reach.search(links, spark.createDataFrame([(0,)], "node long"))
+    assert rows(found.result()[0]) == [(i, i) for i in range(1, length + 1)]
+    # One round reads its rim and now and then a run; all rounds each time would be 820.
+    assert found.rows_read < length * 12 and len(found.runs) <= 8
 
 
 def test_hierarchy(spark, wiki, any_join):
@@ -124,7 +172,10 @@ def test_hierarchy(spark, wiki, any_join):
     assert set(rows(more)) - set(rows(edges)) == {("a_LEAF", "a"), ("b_LEAF", "b")}
     assert rows(hierarchy.remaining_vertices(more, "a")) == [("a_LEAF",), ("b",), ("b_LEAF",), ("c",), ("d",), ("e",)]
     assert rows(hierarchy.remove_vertex(edges, "a"))[0] == ("c", "b")
-    assert ("d", "d") in rows(hierarchy.transitive_closure(edges))
+    closed = rows(hierarchy.transitive_closure(edges))
+    assert ("d", "d") in closed
+    some = spark.createDataFrame([("d",), ("e",), ("a",), ("none",)], "vertex string")
+    assert rows(hierarchy.transitive_closure(edges, some)) == [p for p in closed if p[0] in "dea"]
     found = {r.category: r.supercategories for r in hierarchy.label_hierarchy(wiki, "Top").collect()}
     assert found["Low"] == "Left Loop Low Right"
     assert found["Left_LEAF"] == "Left" and found["Left"] == "" and "Top_LEAF" not in found and "Loop" not in found
@@ -134,6 +185,19 @@ def test_hierarchy(spark, wiki, any_join):
     }
 
 
+def test_leaf_labels_named_as_categories(spark, any_join):
+    """A category ``A_LEAF`` is the leaf label of ``A`` too, and what is below it is below ``A``."""
+    pages = [(1, "Top"), (2, "A"), (3, "A_LEAF"), (4, "B"), (5, "C")]
+    links = [(2, "Top"), (3, "Top"), (4, "A"), (5, "A_LEAF"), (9, "A"), (9, "B"), (9, "C"), (9, "Top")]
+    wiki = Wiki(
+        spark.createDataFrame([(i, 14, t) for i, t in pages] + [(9, 0, "Page")], "page_id bigint, page_namespace int, page_title string"),
+        spark.createDataFrame(links, "cl_from bigint, cl_to string"),
+    )
+    found = {r.category: r.supercategories for r in hierarchy.label_hierarchy(wiki, "Top").collect()}
+    # A label's pages are those of its category, the suffix aside.
+    assert found == {"A": "", "A_LEAF": "A", "B": "A", "C": "A A_LEAF", "Top_LEAF": ""}
+
+
 def test_lookup(spark, wiki, any_join):
     assert rows(lookup.latest_text(wiki)) == [(1, 103, TEXTS[1][1]), (2, 110, "puck[[de:x]]"), (3, 120, "")]
     asked = spark.createDataFrame([(1,), (4,), (4,), (77,)], "page_id bigint")

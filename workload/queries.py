@@ -433,7 +433,10 @@ def category_set_pages(data: Data) -> DataFrame:
 @query
 def expand_categories(data: Data) -> DataFrame:
     wiki = data.wiki()
-    return categories.expansion_report(wiki, categories.named(wiki, "EUROPE", "Part 1", "nowhere"))
+    given = categories.named(wiki, "EUROPE", "Part 1", "nowhere")
+    return categories.expand_categories(wiki, given).join(
+        given.withColumn("given", F.lit(True)), "name", "left"
+    ).select("name", F.coalesce("given", F.lit(False)).alias("given"))
 
 
 @query
