@@ -2,6 +2,7 @@
 
 import bz2
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -228,6 +229,55 @@ def test_sql_dump_in_any_form(spark, tmp_path):
     assert len(rest) == 1 and "broken" in rest[0]
 
 
+def test_sql_dump_of_several_tables(spark, tmp_path):
+    (tmp_path / "all.sql").write_text(
+        "INSERT INTO text(old_id,old_text,old_flags) VALUES (1,'a','utf-8'),(2,'b','utf-8');\n"
+        "INSERT INTO page(page_id,page_title) VALUES (7,'T'),(8,'U');\n"
+        "INSERT INTO `dewiki`.`text` VALUES (3,'c','');\n"
+    )
+    path, columns = str(tmp_path / "all.sql"), "old_id bigint, old_text string"
+    assert sorted(tuple(r) for r in sql_dump.read_sql_dump(spark, path, columns, "text").collect()) == [(1, "a"), (2, "b"), (3, "c")]
+    pages = sql_dump.read_sql_dump(spark, path, "page_id bigint, page_title string", "page")
+    assert sorted(tuple(r) for r in pages.collect()) == [(7, "T"), (8, "U")]
+    assert sql_dump.read_sql_dump(spark, path, columns, "tex").count() == 0
+    assert sql_dump.rejected_sql(spark, path).count() == 0
+
+
+def test_ends_of_statements_inside_literals(spark, tmp_path):
+    """Literals, comments and names that hold a semicolon and a line break, over
+    files cut into many blocks."""
+    rng = random.Random(12)
+    pieces = [";\n", ";\n", "'", "\\", '"', "`", "-- ", "/*", "*/", "#", "x", "INSERT INTO t VALUES (9,'9');\n", "(1,'", "ü"]
+    want, files = [], 3
+    for n in range(files):
+        out = []
+        for i in range(300):
+            rows = []
+            for _ in range(rng.randint(1, 3)):
+                text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+                quoted = text.replace("\\", "\\\\")
+                quoted = quoted.replace("'", rng.choice(["\\'", "''"]))
+                rows.append(f"({len(want)},'{quoted}')")
+                want.append((len(want), text))
+            out.append(f"INSERT INTO t VALUES {','.join(rows)};\n")
+            out.append(rng.choice(["", "", "-- it's;\n", "/* don't;\n (1,'x');\n */;\n", "CREATE TABLE `a;\nb` (c text DEFAULT \"';\n\");\n", "# 'q;\n"]))
+        (tmp_path / f"{n}.sql").write_text("".join(out))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        found = sql_dump.read_sql_dump(spark, str(tmp_path), "id bigint, t string")
+        assert sorted(tuple(r) for r in found.collect()) == want
+        assert sql_dump.rejected_sql(spark, str(tmp_path)).count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one/a.sql").write_text("INSERT INTO t VALUES (1,'x;\ny'),(2,'z'),(3,'w');\n")
+    found = sql_dump.read_sql_dump(spark, str(tmp_path / "one"), "id bigint, t string")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "x;\ny"), (2, "z"), (3, "w")]
+
+
 def test_member_folders_take_any_title(spark, tmp_path):
     titles = ["ä" * 127, "a/b:*?", "A" * 255, "."]
     labels = spark.createDataFrame([(t, n) for n, t in enumerate(titles)], "category string, page_id long")
