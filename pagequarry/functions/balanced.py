@@ -8,8 +8,8 @@ Nearly every page is finished by one regular expression, which matches regions
 up to ``NESTING`` levels deep with possessive loops: linear time, constant
 stack. A second one settles the pages where a region is plainly left open. What
 remains is cut where its unclosed region begins, found by a fold over its
-tokens, and the part before it is done alone. Only regions nested deeper need
-the fold that rebuilds the text.
+tokens, and the part before it is done alone. Where regions are nested deeper a
+fold over its tokens keeps those outside, in time linear in the text.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pagequarry.functions.binding import let
 
 NESTING = 10
+CHUNK = 512  # tokens collected together
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Colu
 
     def of_head(head: Column) -> Column:
         # All regions of the head are closed: a starter left over is deeper.
-        deep = lambda done: F.when(done.contains(region.starter), fold_regions(head, region, nesting)).otherwise(done)
+        deep = lambda done: F.when(done.contains(region.starter), fold_closed(head, region, nesting)).otherwise(done)
         return let(quick(head), deep)
 
     def of_whole(whole: Column) -> Column:
@@ -152,18 +153,51 @@ def unclosed_position(text: Column, region: Region, nesting: int = NESTING) -> C
 
 def fold_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
     """The whole rule, token by token."""
+
+    def split(whole: Column) -> Column:
+        return let(
+            unclosed_position(whole, region, nesting),
+            lambda at: F.concat(
+                fold_closed(F.substring(whole, F.lit(1), at), region, nesting), F.substring(whole, at + 1, F.length(whole))
+            ),
+        )
+
+    return let(text, split)
+
+
+def fold_closed(text: Column, region: Region, nesting: int = NESTING) -> Column:
+    """``text``, all of whose regions close, without them, at any depth.
+
+    The depth runs over the tokens; those outside are kept. They are collected
+    in two levels, within ``CHUNK`` tokens and then over the chunks, so no array
+    grows with the text token by token.
+    """
     none = F.array().cast("array<string>")
-    start = F.struct(F.lit(0).alias("depth"), none.alias("kept"), none.alias("pending"))
 
-    def step(state: Column, token: Column) -> Column:
+    def keep(state: Column, token: Column) -> Column:
         # Longer than its starter and beginning with it: a closed region.
         is_closed = token.startswith(region.starter) & (F.length(token) > len(region.starter))
         depth = next_depth(state["depth"], token, region)
-        here = F.array(token)
         plain = (state["depth"] == 0) & (depth == 0) & ~is_closed
-        kept = F.when(plain, F.concat(state["kept"], here)).otherwise(state["kept"])
-        pending = F.when(depth == 0, none).otherwise(F.concat(state["pending"], here))
-        return F.struct(depth.alias("depth"), kept.alias("kept"), pending.alias("pending"))
+        return F.struct(
+            depth.alias("depth"), F.when(plain, F.concat(state["kept"], F.array(token))).otherwise(state["kept"]).alias("kept")
+        )
+
+    def one(depth: Column, chunk: Column) -> Column:
+        start = F.struct(depth.alias("depth"), none.alias("kept"))
+        return F.aggregate(chunk, start, keep, lambda s: F.struct(s["depth"].alias("depth"), F.array_join(s["kept"], "").alias("text")))
+
+    def add(state: Column, chunk: Column) -> Column:
+        return let(
+            one(state["depth"], chunk),
+            lambda done: F.struct(done["depth"].alias("depth"), F.concat(state["parts"], F.array(done["text"])).alias("parts")),
+        )
+
+    def chunks(found: Column) -> Column:
+        last = F.floor((F.size(found) - 1) / F.lit(CHUNK)).cast("int")
+        pieces = F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(found, n * CHUNK + 1, CHUNK))
+        zero = F.struct(F.lit(0).alias("depth"), none.alias("parts"))
+        joined = F.aggregate(pieces, zero, add, lambda s: F.array_join(s["parts"], ""))
+        return F.when(F.size(found) == 0, F.lit("")).otherwise(joined)
 
-    joined = lambda s: F.array_join(F.concat(s["kept"], s["pending"]), "")
-    return F.aggregate(tokens(text, region, nesting), start, step, joined)
+    return let(tokens(text, region, nesting), chunks)

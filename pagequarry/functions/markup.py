@@ -176,33 +176,55 @@ def remove_unnecessary_whitespace(text: Column) -> Column:
 
 
 # White space may surround the pipe of the first label only.
-_PERSON_HEAD = r"\{\{Personendaten\s*\|\s*NAME="
-_PERSON_MARKS = [rf"\|{label}=" for label in PERSON_LABELS[1:]]
-_PERSON_RECORD = _PERSON_HEAD + "(.+)" + _PERSON_MARKS[0] + r"(.*)\s*".join(["", *_PERSON_MARKS[1:], r"\}\}"])
+_PERSON_HEAD = r"(?U)\{\{Personendaten\s*\|\s*NAME="
+_PERSON_MARKS = [f"|{label}=" for label in PERSON_LABELS[1:]] + ["}}"]
 
 
-def has_person_data(text: Column) -> Column:
-    """Whether all labels follow one another: one linear scan, so that the
-    greedy pattern never has to search a text without a record."""
-    chain = rf"(?sU)\A(?:(?!{_PERSON_HEAD}).)*+{_PERSON_HEAD}."
-    for mark in [*_PERSON_MARKS, r"\}\}"]:
-        chain += f"(?:(?!{mark}).)*+{mark}"
+def person_parts(text: Column) -> Column:
+    """What is before the first person-data template, its seven values, and what
+    is behind it; null without one.
+
+    Values reach as far as they can: each mark is taken at the last place that
+    still has the later marks behind it. So the marks are looked for from the
+    end backwards, each once, whatever incomplete templates the text holds.
+    """
+
+    def step(state: Column, mark: Column) -> Column:
+        value = F.call_function("substring_index", state["rest"], mark, F.lit(-1))
+        found = F.contains(state["rest"], mark)
+        before = F.left(state["rest"], F.length(state["rest"]) - F.length(value) - F.length(mark))
+        return F.struct(
+            F.when(found, before).alias("rest"), F.when(found, F.concat(F.array(value), state["parts"])).alias("parts")
+        )
+
+    def parts(halves: Column) -> Column:
+        marks = F.array(*[F.lit(m) for m in reversed(_PERSON_MARKS)])
+        zero = F.struct(F.get(halves, F.lit(1)).alias("rest"), F.array().cast("array<string>").alias("parts"))
+        whole = lambda s: F.when(F.length(s["rest"]) > 0, F.concat(F.array(F.get(halves, F.lit(0)), s["rest"]), s["parts"]))
+        return F.aggregate(marks, zero, step, whole)
+
     cheap = text.contains("{{Personendaten") & text.contains("|STERBEORT=")
-    return F.when(cheap, text.rlike(chain)).otherwise(F.lit(False))
+    return F.when(cheap, let(F.split(text, _PERSON_HEAD, 2), parts))
+
+
+def has_person_data(text: Column) -> Column:
+    return person_parts(text).isNotNull()
 
 
 def remove_person_data(text: Column) -> Column:
     """The first person-data template becomes its first six values; then the
     white space at both ends goes."""
-    # Only the first record: the match takes the rest of the text with it.
-    record = rf"(?sU){_PERSON_RECORD}(.*+)"
-    values = "$1 $2 $3 $4 $5 $6$8"
-    return trim(let(text, lambda t: F.when(has_person_data(t), F.regexp_replace(t, record, values)).otherwise(t)))
+
+    def replaced(t: Column) -> Column:
+        joined = lambda p: F.concat(p[0], F.array_join(F.slice(p, 2, 6), " "), p[8])
+        return let(person_parts(t), lambda p: F.when(p.isNotNull(), joined(p)).otherwise(t))
+
+    return trim(let(text, replaced))
 
 
 def person_field(text: Column, number: int) -> Column:
     """Value ``number`` (1 to 7) of the template, null without one."""
-    return F.when(has_person_data(text), F.regexp_extract(text, "(?sU)" + _PERSON_RECORD, number))
+    return F.get(person_parts(text), F.lit(number))
 
 
 def wiki_to_plaintext(text: Column, headlines: str = "drop") -> Column:

@@ -1,6 +1,7 @@
 """Balanced regions against a direct statement of the rule."""
 
 import random
+import time
 
 import pytest
 
@@ -59,6 +60,24 @@ def test_long_texts(apply):
     ]
 
 
+@pytest.mark.parametrize("depth", [14, 200])
+def test_deep_regions_in_linear_time(apply, depth):
+    """Two megabytes nested beyond the pattern: four times the text, at most five times the time."""
+    deep = "{{a " * depth + "x" + " b}}" * depth
+    seconds = []
+    for size in (500_000, 2_000_000):
+        unit = "text " + deep + " {{c|{{d}}}} "
+        times = size // len(unit)
+        began = time.monotonic()
+        assert apply(lambda t: balanced.remove_regions(t, balanced.TEMPLATE), [unit * times]) == ["text   " * times]
+        seconds.append(time.monotonic() - began)
+    assert seconds[1] <= 5 * max(seconds[0], 1.0), seconds
+    # One region as deep as the text is long, closed.
+    many = 40_000
+    whole = "a" + "{{b " * many + "}}" * many + "c"
+    assert apply(lambda t: balanced.remove_regions(t, balanced.TEMPLATE), [whole]) == ["ac"]
+
+
 @pytest.mark.parametrize("opener,closer,starter", [("|", "|", None), ("", "x", None), ("<", "</", None), ("[[", "]]", "Bild")])
 def test_bad_delimiters(opener, closer, starter):
     with pytest.raises(ValueError):

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -120,3 +121,21 @@ def test_abbreviation_dots(spark):
     frame = spark.createDataFrame(rows, "t string, p int, e boolean")
     found = frame.select("e", abstracts.is_abbreviation_dot(F.col("t"), F.col("p")).alias("x")).collect()
     assert all(r.e == r.x for r in found)
+
+
+def test_incomplete_records_in_linear_time(apply):
+    """As the greedy pattern reads it, whatever lies around the record."""
+    labels = markup.PERSON_LABELS
+    record = "{{Personendaten|" + "|".join(f"{label}={n} " for n, label in enumerate(labels, 1)) + "}}"
+    halves = ["{{Personendaten|" + "|".join(f"{label}=x" for label in labels[:k]) for k in range(1, 7)] * 10
+    values = "".join(rf"\|{label}=(.*)\s*" for label in labels[1:])
+    pattern = re.compile(rf"\{{\{{Personendaten\s*\|\s*NAME=(.+){values}\}}\}}", re.S)
+    small = ["a " + record + " b", "a " + record + " b }} c", halves[5] + record + halves[5], record + record, halves[3], "{{Personendaten|NAME=" + record[21:],
+             record.replace("NAME=1 |", "NAME=|", 1), record.replace("=3 ", "=\n3\n"), "", "x {{Personendaten | \n NAME=" + record[21:] + "}} y"]
+    want = [pattern.sub(r"\1 \2 \3 \4 \5 \6", t, count=1).strip() for t in small]
+    assert apply(markup.remove_person_data, small) == want
+    began = time.monotonic()
+    hostile = record + "".join(halves)
+    assert apply(markup.remove_person_data, [hostile])[0].startswith("1  2  3  4  5  6 ")
+    assert apply(markup.remove_person_data, ["{{Personendaten|NAME=|STERBEORT=" * 60_000])[0].endswith("STERBEORT=")
+    assert time.monotonic() - began < 20
