@@ -157,6 +157,43 @@ def test_stream_takes_new_files_once(spark, dumps, tmp_path):
     assert stream.imported_table(spark, base, "rejected").columns == ["title", "page", "revision", "reason", "value"]
 
 
+def test_stream_takes_newer_revisions(spark, dumps, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "MERGED", 2)
+    folder, base, state = (str(tmp_path / n) for n in ("drop", "out", "state"))
+    (tmp_path / "drop").mkdir()
+    names = dump.read_namespaces(spark, str(dumps / "a.xml"))
+    revision = "<revision><id>{}</id><timestamp>{}</timestamp><contributor><ip>1</ip></contributor><text>{}</text></revision>"
+
+    def send(file, *pages):
+        body = "".join(
+            f"<page><title>{title}</title><id>{page}</id>"
+            + "".join(revision.format(r, "2001-01-15T13:15:00Z" if good else "soon", f"t{r}") for r, good in revisions) + "</page>\n"
+            for page, title, revisions in pages
+        )
+        (tmp_path / f"drop/{file}.xml").write_text(HEADER + body + "</wiki>")
+        stream.start_import(stream.read_page_stream(spark, folder), names, base, state).awaitTermination()
+        counts = spark.read.parquet(f"{base}/counts").orderBy("batch").collect()[-1]
+        read = {n: stream.imported_table(spark, base, n) for n in ("page", "text", "rejected")}
+        return (
+            sorted((r.page_id, r.page_title, r.page_latest) for r in read["page"].collect()),
+            sorted(r.old_id for r in read["text"].collect()), read["rejected"].count(), (counts.new, counts.updated, counts.skipped, counts.repeated),
+        )
+
+    assert send("1", (1, "A", [(10, True)]), (2, "B", [(20, True), (21, True)]), (3, "C", [(30, False)])) == (
+        [(1, "A", 10), (2, "B", 20), (3, "C", 30)], [10, 20, 21], 1, (3, 0, 0, 0)
+    )
+    # An equal one, a newer one with a new title, one corrected.
+    assert send("2", (1, "A", [(10, True)]), (2, "B2", [(21, True), (22, True)]), (3, "C", [(30, True)])) == (
+        [(1, "A", 10), (2, "B2", 22), (3, "C", 30)], [10, 20, 21, 22, 30], 1, (0, 2, 1, 0)
+    )
+    # Twice in a batch: each revision once, the row of the newest.
+    assert send("3", (1, "A3", [(13, True)]), (1, "A2", [(12, True), (13, True)]), (4, "D", [])) == (
+        [(1, "A3", 13), (2, "B2", 22), (3, "C", 30), (4, "D", None)], [10, 12, 13, 20, 21, 22, 30], 1, (1, 1, 0, 1)
+    )
+    assert send("4", (4, "D", []), (1, "old", [(11, True)]))[3] == (0, 0, 2, 0)
+    assert send("5", (4, "D", [(40, True)]), (2, "B2", [(22, True)]))[3] == (0, 1, 1, 0)
+
+
 def test_sql_dump(spark, tmp_path):
     rows = [
         (1, r"It\'s_a,_(b)", "It's_a,_(b)"),

@@ -346,6 +346,16 @@ PAGES = f"""SELECT {NUMBER.format('id')} AS page_id, CAST(namespace AS BIGINT) A
   CAST(0 AS BIGINT) AS page_counter, CAST(starts_with(lower(text), '#redirect ') AS BIGINT) AS page_is_redirect,
   CAST(0 AS BIGINT) AS page_is_new, {NUMBER.format('rev_id')} AS page_latest, CAST(strlen(text) AS BIGINT) AS page_len FROM split"""
 
+REJECTED = f"""SELECT title, id AS page, CAST(NULL AS VARCHAR) AS revision, 'page id' AS reason, id AS value FROM w_raw
+WHERE NOT regexp_full_match(id, '[0-9]+')
+UNION ALL SELECT title, id, rev_id, CASE WHEN rev_id LIKE 'r%' THEN 'revision id' ELSE 'timestamp' END,
+  CASE WHEN rev_id LIKE 'r%' THEN rev_id ELSE timestamp END FROM w_raw WHERE NOT ({RAW_OK})"""
+TEXTS = f"SELECT CAST(rev_id AS BIGINT) AS old_id, text AS old_text, 'utf-8' AS old_flags FROM w_raw WHERE {RAW_OK}"
+IMPORTED = """SELECT 'page' AS name, CAST(page_id AS VARCHAR) AS id, concat_ws('|', page_namespace, page_title, page_is_redirect, page_latest, page_len) AS row FROM pages_out
+UNION ALL SELECT 'revision', CAST(rev_id AS VARCHAR), concat_ws('|', rev_page, rev_comment, rev_user, rev_user_text, rev_minor_edit) FROM revisions_out
+UNION ALL SELECT 'text', CAST(old_id AS VARCHAR), concat_ws('|', old_flags, old_text) FROM texts_out
+UNION ALL SELECT 'rejected', revision, concat_ws('|', title, page, reason, value) FROM rejected_out"""
+
 # Titles as the query writes them, and what they mean.
 ASKED = (
     "asked",
@@ -400,12 +410,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT event_id, CASE WHEN length(timestamp) = 20 THEN replace(timestamp[:19], 'T', ' ') END AS ts, "
             f"CASE WHEN length(timestamp) = 20 THEN {DIGITS} END AS compact FROM w_raw"
         ),
-        "rejected_rows": with_views(
-            f"""SELECT title, id AS page, NULL AS revision, 'page id' AS reason, id AS value FROM w_raw
-            WHERE NOT regexp_full_match(id, '[0-9]+')
-            UNION ALL SELECT title, id, rev_id, CASE WHEN rev_id LIKE 'r%' THEN 'revision id' ELSE 'timestamp' END,
-              CASE WHEN rev_id LIKE 'r%' THEN rev_id ELSE timestamp END FROM w_raw WHERE NOT ({RAW_OK})"""
-        ),
+        "rejected_rows": with_views(REJECTED),
         "resolve_contributor": with_views(
             "SELECT event_id, coalesce(username, ip, '') AS rev_user_text, "
             "CAST(coalesce(user_id, '0') AS BIGINT) AS rev_user FROM w_raw"
@@ -419,16 +424,16 @@ def oracle_sql() -> dict[str, str]:
         ),
         "page_rows": with_views(PAGES, SPLIT),
         "revision_rows": with_views(REVISIONS),
-        "text_rows": with_views(
-            f"SELECT CAST(rev_id AS BIGINT) AS old_id, text AS old_text, 'utf-8' AS old_flags FROM w_raw WHERE {RAW_OK}"
-        ),
+        "text_rows": with_views(TEXTS),
         "skip_loaded": with_views(
             "SELECT event_id, id FROM w_raw WHERE minor IS NULL OR NOT regexp_full_match(id, '[0-9]+')"
         ),
         "import_statistics": with_views(
             "SELECT count(*) AS pages, count(*) AS revisions, CAST(sum(strlen(text)) AS BIGINT) AS text_bytes FROM w_raw"
         ),
-        "incremental_import": with_views(REVISIONS),
+        "incremental_import": with_views(
+            IMPORTED, SPLIT, ("pages_out", PAGES), ("revisions_out", REVISIONS), ("texts_out", TEXTS), ("rejected_out", REJECTED)
+        ),
         "wiki_table_import": with_views(
             f"SELECT page_id, page_namespace, page_title, page_len, text AS old_text, 'utf-8' AS old_flags "
             f"FROM (SELECT *, CAST(event_id * 10 + 1 AS BIGINT) AS k FROM w_raw WHERE {RAW_OK}) "

@@ -6,6 +6,7 @@ A query takes the views and returns a DataFrame of strings and bigints.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -288,7 +289,19 @@ def incremental_import(data: Data) -> DataFrame:
     base, state = scratch_path(data.spark, "tables"), scratch_path(data.spark, "stream")
     raw = dump_stream.read_page_stream(data.spark, folder, files_per_batch=4)
     dump_stream.start_import(raw, data["w_namespaces"], base, state).awaitTermination()
-    return _revisions(dump_stream.imported_table(data.spark, base, "revision"))
+    columns = {
+        "page": ("page_id", F.concat_ws("|", "page_namespace", "page_title", "page_is_redirect", "page_latest", "page_len")),
+        "revision": ("rev_id", F.concat_ws("|", "rev_page", "rev_comment", "rev_user", "rev_user_text", "rev_minor_edit")),
+        "text": ("old_id", F.concat_ws("|", "old_flags", "old_text")),
+        "rejected": ("revision", F.concat_ws("|", "title", "page", "reason", "value")),
+    }
+    tables = [
+        dump_stream.imported_table(data.spark, base, name).select(
+            F.lit(name).alias("name"), F.col(key).cast("string").alias("id"), value.alias("row")
+        )
+        for name, (key, value) in columns.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query
