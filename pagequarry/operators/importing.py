@@ -85,22 +85,45 @@ def split_namespace(raw: DataFrame, namespaces: DataFrame) -> DataFrame:
     )
 
 
+def narrowed(raw: DataFrame) -> DataFrame:
+    """``raw`` with the bodies apart: ``revision`` holds ``length`` and
+    ``redirect`` in place of the text, ``texts`` the texts in the same order.
+
+    Written once in this form, page, revision and rejected rows are read without
+    the column of bodies. Pages in this form already are returned as they are.
+    """
+    if "texts" in raw.columns:
+        return raw
+
+    def narrow(r: Column) -> Column:
+        text = F.coalesce(r["text"], F.lit(""))
+        kept = [r[n].alias(n) for n in ("id", "timestamp", "contributor", "minor", "comment")]
+        return F.struct(*kept, byte_length(text).alias("length"), is_redirect(text).alias("redirect"))
+
+    texts = F.transform("revision", lambda r: r["text"])
+    return raw.withColumns({"revision": F.transform("revision", narrow), "texts": texts})
+
+
 def page_rows(raw: DataFrame, namespaces: DataFrame) -> DataFrame:
     """One row per page, described by its first revision."""
-    first = F.col("revision")[0]
-    text = F.coalesce(first["text"], F.lit(""))
+    first = F.get("revision", F.lit(0))
+    if "texts" in raw.columns:
+        length, redirect = F.coalesce(first["length"], F.lit(0)), F.coalesce(first["redirect"], F.lit(0))
+    else:
+        text = F.coalesce(first["text"], F.lit(""))
+        length, redirect = byte_length(text), is_redirect(text)
     return split_namespace(raw, namespaces).select(
         number(F.col("id")).alias("page_id"),
         F.col("namespace").alias("page_namespace"),
         underscored(F.col("bare_title")).alias("page_title"),
         F.coalesce("restrictions", F.lit("")).alias("page_restrictions"),
         F.lit(0).cast("bigint").alias("page_counter"),
-        is_redirect(text).alias("page_is_redirect"),
+        redirect.alias("page_is_redirect"),
         F.lit(0).alias("page_is_new"),
         F.rand().alias("page_random"),
         F.current_timestamp().alias("page_touched"),
         number(first["id"]).alias("page_latest"),
-        byte_length(text).alias("page_len"),
+        length.alias("page_len"),
     )
 
 
@@ -108,6 +131,14 @@ def exploded(raw: DataFrame) -> DataFrame:
     return raw.select("title", F.col("id").alias("page"), F.explode("revision").alias("r"))
 
 
+def with_texts(raw: DataFrame) -> DataFrame:
+    """One row ``(r, text)`` for each revision."""
+    if "texts" not in raw.columns:
+        return exploded(raw).withColumn("text", F.col("r.text"))
+    pairs = raw.select(F.explode(F.arrays_zip("revision", "texts")).alias("z"))
+    return pairs.select(F.col("z.revision").alias("r"), F.col("z.texts").alias("text"))
+
+
 def accepted(revisions: DataFrame) -> DataFrame:
     """Revisions with a numeric id and a well-formed timestamp."""
     return revisions.where(is_number(F.col("r.id")) & is_timestamp(F.col("r.timestamp")))
@@ -129,9 +160,9 @@ def revision_rows(raw: DataFrame) -> DataFrame:
 
 
 def text_rows(raw: DataFrame) -> DataFrame:
-    return accepted(exploded(raw)).select(
+    return accepted(with_texts(raw)).select(
         number(F.col("r.id")).alias("old_id"),
-        F.coalesce("r.text", F.lit("")).alias("old_text"),
+        F.coalesce("text", F.lit("")).alias("old_text"),
         F.lit(TEXT_FLAGS).alias("old_flags"),
     )
 
@@ -177,5 +208,5 @@ def import_statistics(raw: DataFrame) -> DataFrame:
 
 
 def import_pages(raw: DataFrame, namespaces: DataFrame) -> Imported:
-    """The three tables and the rejected rows of raw pages."""
+    """The three tables and the rejected rows of raw pages, in either form."""
     return Imported(page_rows(raw, namespaces), revision_rows(raw), text_rows(raw), rejected_rows(raw))

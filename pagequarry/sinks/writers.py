@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pagequarry.operators.categories import page_category_lists
-from pagequarry.operators.importing import Imported, import_pages
+from pagequarry.operators.importing import Imported, import_pages, narrowed
 from pagequarry.plans.articles import delimited
 from pagequarry.plans.corpus import Corpus
 from pagequarry.session import drop_scratch, scratch_path
@@ -102,15 +102,15 @@ def import_dump(raw: DataFrame, namespaces: DataFrame, base: str, prefix: str =
     """Raw pages to the three tables at ``base``; returns pages, revisions,
     seconds and rates.
 
-    The dump is parsed once, into a columnar copy in the shared folder; page
-    and revision rows then read their own columns of it. The counts are
-    observed while that copy is written.
+    The dump is parsed once, into a columnar copy in the shared folder with the
+    bodies in a column of their own; page, revision and rejected rows read none
+    of them. The counts are observed while that copy is written.
     """
     spark = raw.sparkSession
     started = time.monotonic()
     seen = Observation("import")
     staged = scratch_path(spark, "raw-pages")
-    raw.observe(
+    narrowed(raw).observe(
         seen, F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum(F.size("revision")), F.lit(0)).alias("revisions")
     ).write.parquet(staged)
     imported = import_pages(spark.read.parquet(staged), namespaces)

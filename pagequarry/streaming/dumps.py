@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagequarry.operators.importing import (
-    NUMBER_FORM, is_number, is_timestamp, number, page_rows, rejected_rows, revision_rows, text_rows,
+    NUMBER_FORM, is_number, is_timestamp, narrowed, number, page_rows, rejected_rows, revision_rows, text_rows,
 )
 from pagequarry.scale import materialise
 from pagequarry.session import drop_scratch, scratch_path
@@ -50,7 +50,7 @@ def start_import(
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = scratch_path(spark, "batch")
-        batch.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
+        narrowed(batch).withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
         held = spark.read.parquet(staged)
         taken, state, counts = _taken(well_formed(held), _state(spark, base, batch_id))
         tables = {
@@ -100,8 +100,10 @@ def _taken(new: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFram
     chosen, _ = materialise(rows.unionByName(bare).withColumn("_page", newest == 1))
     # Revisions that a check drops stay with the page, which lists them.
     checked = lambda r: r["id"].rlike(NUMBER_FORM) & is_timestamp(r["timestamp"])
-    wanted = F.filter("revision", lambda r: ~F.coalesce(checked(r), F.lit(False)) | F.array_contains("_revs", number(r["id"])))
-    own = new.join(chosen.select("_row", "_revs", "_page"), "_row").withColumn("revision", wanted).drop("_revs")
+    wanted = lambda r: ~F.coalesce(checked(r), F.lit(False)) | F.array_contains("_revs", number(r["id"]))
+    texts = F.filter("texts", lambda _, n: wanted(F.get("revision", n)))
+    own = new.join(chosen.select("_row", "_revs", "_page"), "_row")
+    own = own.withColumns({"revision": F.filter("revision", wanted), "texts": texts}).drop("_revs")
     nameless = new.where(~is_number(F.col("id"))).withColumn("_page", F.lit(True))
     taken = own.unionByName(nameless.select(own.columns)).drop("_row")
     fold = chosen.groupBy("page_id").agg(F.max("greatest").alias("known"), F.max("known").alias("before"))

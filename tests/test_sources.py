@@ -134,6 +134,22 @@ def test_import(spark, dumps, tmp_path):
     assert [r.id for r in left.collect()] == ["3"]
 
 
+def test_rows_without_bodies_read_none(spark, dumps, tmp_path):
+    path = str(dumps / "a.xml")
+    raw = dump.well_formed(dump.read_pages(spark, path))
+    names = dump.read_namespaces(spark, path)
+    importing.narrowed(raw).write.parquet(str(tmp_path / "staged"))
+    staged = spark.read.parquet(str(tmp_path / "staged"))
+    direct, apart = importing.import_pages(raw, names), importing.import_pages(staged, names)
+    for name in ("page", "revision", "text", "rejected"):
+        columns = [c for c in getattr(direct, name).columns if c not in ("page_random", "page_touched")]
+        left, right = (sorted(map(str, getattr(i, name).select(columns).collect())) for i in (direct, apart))
+        assert left == right and left
+        plan = getattr(apart, name)._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "ReadSchema" in line and "revision" in line]
+        assert scans and all(("texts" in line) == (name == "text") for line in scans), plan
+
+
 def test_stream_takes_new_files_once(spark, dumps, tmp_path):
     folder, base, state = (str(tmp_path / n) for n in ("drop", "out", "state"))
     (tmp_path / "drop").mkdir()
