@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pagequarry.scale import Size, broadcast_if_small, fits_broadcast, materialise, size_metrics
 from pagequarry.session import cut_lineage
 
-STEPS = 3  # links followed by one job
+STEPS = 2  # links followed by one job
 RUNS = 8  # runs kept unmerged
 SHARE = 8  # a large run is met again when the rows found since are one part in so many of it
 
@@ -133,7 +133,11 @@ def search(links: DataFrame, start: DataFrame, links_size: Size | None = None) -
                 ahead = broadcast_if_small(links.withColumnRenamed("source", "node"), links_size)
                 extended = level.join(ahead, "node")
             others = [c for c in keys if c != "node"]
-            level = extended.select(*others, F.col("target").alias("node"), (F.col("depth") + 1).alias("depth")).distinct()
+            level = extended.select(*others, F.col("target").alias("node"), (F.col("depth") + 1).alias("depth"))
+            if not fits_broadcast(links_size):
+                # Past the bound no node goes into the next shuffled join twice;
+                # below it the one aggregation at the end is cheaper.
+                level = level.distinct()
             levels.append(level)
         nearest = union(levels).groupBy(*keys).agg(F.min("depth").alias("depth"))
         # Those nearer than the rim were extended in this job already.
