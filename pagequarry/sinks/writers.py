@@ -12,6 +12,7 @@ from pagequarry.operators.importing import Imported, import_pages, narrowed
 from pagequarry.plans.articles import delimited
 from pagequarry.plans.corpus import Corpus
 from pagequarry.session import drop_scratch, scratch_path
+from pagequarry.sinks.versions import replace_tables
 
 
 def write_member_lists(labels: DataFrame, path: str, folders: bool = False) -> None:
@@ -80,10 +81,11 @@ def write_delimited(articles: DataFrame, path: str) -> None:
     delimited(articles).write.mode("overwrite").text(path)
 
 
-def write_wiki_tables(imported: Imported, base: str, prefix: str = "", mode: str = "overwrite") -> None:
-    """page, revision and text as Parquet folders; replaces what is there."""
-    for name in ("page", "revision", "text"):
-        getattr(imported, name).write.mode(mode).parquet(f"{base}/{prefix}{name}")
+def write_wiki_tables(imported: Imported, base: str, prefix: str = "") -> None:
+    """page, revision, text and rejected as Parquet; they replace those at
+    ``base`` together (:mod:`pagequarry.sinks.versions` has where they are)."""
+    names = ("page", "revision", "text", "rejected")
+    replace_tables({name: getattr(imported, name) for name in names}, base, prefix)
 
 
 def save_wiki_tables(imported: Imported, database: str, prefix: str = "", buckets: int | None = None) -> None:
@@ -99,8 +101,8 @@ def save_wiki_tables(imported: Imported, database: str, prefix: str = "", bucket
 
 
 def import_dump(raw: DataFrame, namespaces: DataFrame, base: str, prefix: str = "") -> dict:
-    """Raw pages to the three tables at ``base``; returns pages, revisions,
-    seconds and rates.
+    """Raw pages to the three tables and the rejected rows at ``base``, which
+    they replace together; returns pages, revisions, seconds and rates.
 
     The dump is parsed once, into a columnar copy in the shared folder with the
     bodies in a column of their own; page, revision and rejected rows read none
@@ -115,7 +117,6 @@ def import_dump(raw: DataFrame, namespaces: DataFrame, base: str, prefix: str =
     ).write.parquet(staged)
     imported = import_pages(spark.read.parquet(staged), namespaces)
     write_wiki_tables(imported, base, prefix)
-    imported.rejected.write.mode("overwrite").parquet(f"{base}/{prefix}rejected")
     drop_scratch(spark, staged)
     seconds = max(time.monotonic() - started, 1e-3)
     counts = seen.get

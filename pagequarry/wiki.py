@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from pagequarry.session import tune
+from pagequarry.sinks.versions import table_paths
 
 TABLES = ("page", "revision", "text", "categorylinks")
 
@@ -49,9 +50,11 @@ class Wiki:
 
     @classmethod
     def from_path(cls, spark: SparkSession, base: str, prefix: str = "", **settings) -> "Wiki":
-        """Parquet folders ``<base>/<prefix>page`` and so on."""
+        """Parquet folders ``<base>/<prefix>page`` and so on, or those of the
+        set that an import wrote there last."""
         tune(spark)
-        return cls(**{t: spark.read.parquet(f"{base}/{prefix}{t}") for t in TABLES}, **settings)
+        paths = table_paths(spark, base, list(TABLES), prefix)
+        return cls(**{t: spark.read.parquet(paths[t]) for t in TABLES}, **settings)
 
     @property
     def spark(self) -> SparkSession:

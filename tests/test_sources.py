@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.operators import importing, lookup
-from pagequarry.sinks import writers
+from pagequarry.sinks import versions, writers
 from pagequarry.sources import dump, sql_dump, wikitext
 from pagequarry.streaming import dumps as stream
 from pagequarry.wiki import Wiki
@@ -119,21 +119,51 @@ def test_import(spark, dumps, tmp_path):
     raw = dump.well_formed(dump.read_pages(spark, path))
     report = writers.import_dump(raw, dump.read_namespaces(spark, path), str(tmp_path / "wiki"), "de_")
     assert (report["pages"], report["revisions"]) == (3, 3)
-    page = {r.page_id: r for r in spark.read.parquet(str(tmp_path / "wiki/de_page")).collect()}
+    paths = versions.table_paths(spark, str(tmp_path / "wiki"), ["page", "revision", "rejected"], "de_")
+    page = {r.page_id: r for r in spark.read.parquet(paths["page"]).collect()}
     assert [(page[i].page_namespace, page[i].page_title) for i in (1, 2, 3)] == [(0, "A_&_B"), (14, "C_d"), (0, "X")]
     assert [page[i].page_is_redirect for i in (1, 2, 3)] == [0, 0, 1]
     assert page[1].page_len == len('  lead <b> "x" &quot;\n\n tail é\n'.encode())
     assert page[1].page_latest == 11 and 0 <= page[1].page_random < 1 and page[1].page_touched is not None
-    revision = {r.rev_id: r for r in spark.read.parquet(str(tmp_path / "wiki/de_revision")).collect()}
+    revision = {r.rev_id: r for r in spark.read.parquet(paths["revision"]).collect()}
     assert sorted(revision) == [11, 13]  # 12 has no proper timestamp
     assert (revision[11].rev_user_text, revision[11].rev_user, revision[11].rev_minor_edit) == ("Foo", 3, 1)
     assert (revision[13].rev_user_text, revision[13].rev_user, revision[13].rev_comment) == ("1.2.3.4", 0, "")
-    rejected = spark.read.parquet(str(tmp_path / "wiki/de_rejected")).collect()
+    rejected = spark.read.parquet(paths["rejected"]).collect()
     assert [(r.reason, r.value) for r in rejected] == [("timestamp", "2001-01-15 13:15")]
-    left = importing.skip_loaded(raw, spark.read.parquet(str(tmp_path / "wiki/de_page")).where("page_id < 3"))
+    left = importing.skip_loaded(raw, spark.read.parquet(paths["page"]).where("page_id < 3"))
     assert [r.id for r in left.collect()] == ["3"]
 
 
+def test_tables_are_replaced_together(spark, tmp_path):
+    base, names = str(tmp_path / "wiki"), ["page", "text"]
+
+    def tables(n, broken=False):
+        rows = spark.range(n).select("id", F.lit(n).alias("n"))
+        bad = rows.withColumn("n", F.raise_error(F.lit("lost")).cast("int")) if broken else rows
+        return {"page": rows, "text": bad}
+
+    def seen():
+        paths = versions.table_paths(spark, base, names)
+        return [spark.read.parquet(paths[name]).select("n").distinct().first()[0] for name in names]
+
+    spark.range(3).withColumn("n", F.lit(1)).write.parquet(f"{base}/page")
+    spark.range(3).withColumn("n", F.lit(1)).write.parquet(f"{base}/text")
+    assert seen() == [1, 1]  # written apart, before there was a set
+    versions.replace_tables(tables(5), base)
+    assert seen() == [5, 5]
+    begun = versions.table_paths(spark, base, names)
+    # The second table fails after the first was written.
+    with pytest.raises(Exception, match="lost"):
+        versions.replace_tables(tables(7, broken=True), base)
+    assert seen() == [5, 5]
+    versions.replace_tables(tables(9), base)
+    assert seen() == [9, 9]
+    assert spark.read.parquet(begun["text"]).count() == 5  # a reader that had begun
+    versions.replace_tables(tables(11), base)
+    assert len(list((tmp_path / "wiki/versions").iterdir())) == 2
+
+
 def test_rows_without_bodies_read_none(spark, dumps, tmp_path):
     path = str(dumps / "a.xml")
     raw = dump.well_formed(dump.read_pages(spark, path))

@@ -16,7 +16,7 @@ from pagequarry.functions import abstracts, lines, markup, titles
 from pagequarry.operators import categories, cleaning, hierarchy, importing, lookup
 from pagequarry.plans import articles, corpus, labels
 from pagequarry.session import scratch_path
-from pagequarry.sinks import writers
+from pagequarry.sinks import versions, writers
 from pagequarry.sources import dump, sql_dump, wikitext
 from pagequarry.streaming import dumps as dump_stream
 from workload.views import Data, load
@@ -310,8 +310,8 @@ def wiki_table_import(data: Data) -> DataFrame:
     raw = dump.well_formed(dump.read_pages(data.spark, _folders(_dump(data))))
     base = scratch_path(data.spark, "import")
     writers.import_dump(raw, data["w_namespaces"], base)
-    page = data.spark.read.parquet(f"{base}/page")
-    text = data.spark.read.parquet(f"{base}/text")
+    paths = versions.table_paths(data.spark, base, ["page", "text"])
+    page, text = (data.spark.read.parquet(paths[name]) for name in ("page", "text"))
     return page.join(text, F.col("page_latest") == F.col("old_id")).select(
         "page_id", big("page_namespace"), "page_title", "page_len", "old_text", "old_flags"
     )
