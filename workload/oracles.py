@@ -395,9 +395,10 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT cl_from AS n, cl_to FROM w_categorylinks UNION ALL SELECT 7, cl_to FROM w_categorylinks)"
         ),
         "wiki_tables": with_views(
-            " UNION ALL ".join(
-                f"SELECT '{t}' AS name, count(*) AS n FROM w_{t}" for t in ("page", "categorylinks", "revision", "text")
-            )
+            """SELECT 'page' AS name, CAST(page_id AS BIGINT) AS id, concat_ws('|', page_namespace, page_title) AS row FROM w_page
+            UNION ALL SELECT 'categorylinks', cl_from, cl_to FROM w_categorylinks
+            UNION ALL SELECT 'revision', rev_id, concat_ws('|', rev_page, rev_text_id) FROM w_revision
+            UNION ALL SELECT 'text', old_id, concat_ws('|', old_flags, old_text) FROM w_text"""
         ),
         "read_wikitext_lines": with_views(
             "SELECT line, count(*) AS n FROM (SELECT unnest(string_split(wikitext, chr(10))) AS line FROM w_wikitext) "

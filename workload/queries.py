@@ -160,14 +160,16 @@ def wiki_tables(data: Data) -> DataFrame:
     for name in ("page", "categorylinks", "revision", "text"):
         getattr(wiki, name).write.parquet(f"{base}/de_{name}")
     opened = Wiki.from_path(data.spark, base, prefix="de_")
-    counts = [
-        getattr(opened, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name in ("page", "categorylinks", "revision", "text")
+    rows = {
+        "page": ("page_id", F.concat_ws("|", "page_namespace", "page_title")),
+        "categorylinks": ("cl_from", F.col("cl_to")),
+        "revision": ("rev_id", F.concat_ws("|", "rev_page", "rev_text_id")),
+        "text": ("old_id", F.concat_ws("|", "old_flags", "old_text")),
+    }
+    tables = [
+        getattr(opened, name).select(F.lit(name).alias("name"), big(key, "id"), value.alias("row")) for name, (key, value) in rows.items()
     ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query
