@@ -25,6 +25,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,16 +60,15 @@ class Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, keys) -> list[str]:
+    def missing(self, keys: set[str]) -> list[str]:
         """Keys in neither generation; the others are young afterwards."""
         young, old = self.young, self.old
         missing = []
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    young[key] = old[key]
-                else:
-                    missing.append(key)
+        for key in keys.difference(young):
+            if key in old:
+                young[key] = old[key]
+            else:
+                missing.append(key)
         return missing
 
     def age(self) -> None:
@@ -159,14 +159,10 @@ class ChunkEncoder:
         split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
         known = self.chunks.young
         known[""] = b""
-        found = [list(map(known.get, chunks)) for chunks in split]
-        gaps = [n for n, ids in enumerate(found) if None in ids]
-        new = self.chunks.missing({c for n in gaps for c, ids in zip(split[n], found[n]) if ids is None})
-        known.update(self._learn(new))
-        for n in gaps:
-            found[n] = map(known.__getitem__, split[n])
+        known.update(self._learn(self.chunks.missing(set(chain.from_iterable(split)))))
+        found = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         self.chunks.age()
-        return list(map(b"".join, found))
+        return found
 
 
 _KIND = object()  # one for each worker process
