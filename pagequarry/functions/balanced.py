@@ -10,6 +10,10 @@ stack. A second one settles the pages where a region is plainly left open. What
 remains is cut where its unclosed region begins, found by a fold over its
 tokens, and the part before it is done alone. Where regions are nested deeper a
 fold over its tokens keeps those outside, in time linear in the text.
+
+Where one delimiter begins with the other, or the starter does not begin with
+the opener, what a character belongs to depends on the depth, and no fixed
+tokens exist: a fold over the places of all delimiters decides (``fold_any``).
 """
 
 from __future__ import annotations
@@ -43,10 +47,18 @@ class Region:
             raise ValueError("empty delimiters are not allowed")
         if self.opener == self.closer:
             raise ValueError(f"opener and closer are the same: {self.opener!r}")
-        if self.opener.startswith(self.closer) or self.closer.startswith(self.opener):
-            raise ValueError("one delimiter may not begin with the other")
-        if not self.starter.startswith(self.opener):
-            raise ValueError("the starter has to begin with the opener")
+
+    @property
+    def plain(self) -> bool:
+        """Whether the text falls into the same tokens at every depth."""
+        nested = self.opener.startswith(self.closer) or self.closer.startswith(self.opener)
+        return not nested and self.starter.startswith(self.opener) and not self.overlapping
+
+    @property
+    def overlapping(self) -> bool:
+        """Whether a closer found outside a region could swallow the beginning
+        of a starter."""
+        return any(self.starter.startswith(self.closer[-k:]) for k in range(1, len(self.closer)))
 
     @staticmethod
     def of(opener: str, closer: str, starter: str | None = None) -> "Region":
@@ -77,6 +89,8 @@ MATH = Region("<math>", "<math>", "</math>", r"[^<]++|<(?!/?math>)")
 
 def remove_regions(text: Column, region: Region, nesting: int = NESTING) -> Column:
     """``text`` without the closed regions."""
+    if not region.plain:
+        return fold_any(text, region)
     starter, closed = quoted(region.starter), region.nested(region.starter, nesting)
     # A starter with no closed region behind it keeps the rest of the text.
     pattern = f"(?s)(?={starter})(?:{closed}|(.*+))"
@@ -201,3 +215,67 @@ def fold_closed(text: Column, region: Region, nesting: int = NESTING) -> Column:
         return F.when(F.size(found) == 0, F.lit("")).otherwise(joined)
 
     return let(tokens(text, region, nesting), chunks)
+
+
+def fold_any(text: Column, region: Region) -> Column:
+    """The whole rule for any delimiters.
+
+    The text is cut before every place where a delimiter could begin, so a piece
+    has one at its beginning or nowhere. Outside a starter counts, inside the
+    opener and the closer, the closer first where both begin; a delimiter that
+    begins within the one just read does not count (``skip``). Kept pieces are
+    collected in two levels, as in :func:`fold_closed`.
+    """
+    marks = (region.starter, region.opener, region.closer)
+    widest = max(map(len, marks))
+    pieces = F.split(text, f"(?={'|'.join(map(quoted, marks))})")
+    none = F.array().cast("array<string>")
+
+    def seen(firsts: Column, n: Column) -> Column:
+        """The first characters from a piece on; each piece has one at least."""
+        return F.array_join(F.slice(firsts, n + 1, widest), "")
+
+    def with_view(found: Column) -> Column:
+        firsts = F.transform(found, lambda piece: F.substring(piece, 1, widest))
+        return let(firsts, lambda f: F.transform(found, lambda piece, n: F.struct(piece.alias("piece"), seen(f, n).alias("view"))))
+
+    def step(state: Column, item: Column) -> Column:
+        depth, view, free = state["depth"], item["view"], state["skip"] == 0
+        starts = free & (depth == 0) & view.startswith(region.starter)
+        closes = free & (depth > 0) & view.startswith(region.closer)
+        opens = free & (depth > 0) & view.startswith(region.opener) & ~view.startswith(region.closer)
+        read = (
+            F.when(starts, len(region.starter)).when(closes, len(region.closer)).when(opens, len(region.opener)).otherwise(state["skip"])
+        )
+        behind = F.when(starts | opens, depth + 1).when(closes, depth - 1).otherwise(depth)
+        size = F.length(item["piece"])
+
+        def told(new: Column) -> Column:
+            rest = F.substring(item["piece"], new["read"] + 1, size)
+            kept = F.when((new["depth"] == 0) & (new["read"] < size), F.concat(state["kept"], F.array(rest))).otherwise(state["kept"])
+            return F.struct(
+                new["depth"].alias("depth"),
+                F.greatest(new["read"] - size, F.lit(0)).alias("skip"),
+                (state["at"] + size).alias("at"),
+                F.when(new["starts"], state["at"]).otherwise(state["start"]).alias("start"),
+                kept.alias("kept"),
+            )
+
+        return let(F.struct(read.alias("read"), behind.alias("depth"), starts.alias("starts")), told)
+
+    def fields(state: Column) -> list[Column]:
+        return [state[name].alias(name) for name in ("depth", "skip", "at", "start")]
+
+    def add(state: Column, chunk: Column) -> Column:
+        done = F.aggregate(chunk, F.struct(*fields(state), none.alias("kept")), step)
+        return let(done, lambda d: F.struct(*fields(d), F.concat(state["parts"], F.array(F.array_join(d["kept"], ""))).alias("parts")))
+
+    def whole(found: Column) -> Column:
+        last = F.floor((F.size(found) - 1) / F.lit(CHUNK)).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(found, n * CHUNK + 1, CHUNK))
+        zero = F.struct(*(F.lit(0).alias(name) for name in ("depth", "skip", "at", "start")), none.alias("parts"))
+        # A region left open is kept, with all behind its start.
+        tail = lambda s: F.when(s["depth"] > 0, F.substring(text, s["start"] + 1, F.length(text))).otherwise("")
+        return F.aggregate(chunks, zero, add, lambda s: F.concat(F.array_join(s["parts"], ""), tail(s)))
+
+    return F.when(text.isNotNull(), let(with_view(pieces), whole))
