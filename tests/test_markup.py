@@ -69,6 +69,39 @@ CASES = [
     (lines.render_lines, "== H ==\n* a\n#: b\n##c\n----\n'''x''' [[y|z]]\n;d", "H\n* a\n* b\n# c\n" + "-" * 40 + "\nx z\n* d"),
 ]
 
+# Pages and their blocks.
+BLOCKS = [
+    ("", []),
+    (" \n\t\n", []),
+    ("one ''a''\ntwo [[x|y]]\n\nthree", [("paragraph", "one a\ntwo y"), ("paragraph", "three")]),
+    (" int '''x''';\n  [[y]]\n\tz\nend", [("code", "int '''x''';\n [[y]]\nz"), ("paragraph", "end")]),
+    ("* a\n** b\n# c\n*# d\n;e\n: f", [("item", "* a\n* b"), ("numbered", "# c\n# d"), ("item", "* e\n* f")]),
+    ("* a\n\n* b", [("item", "* a"), ("item", "* b")]),
+    ("== H ==\n=== I ===\n----\n----- \nx", [("headline", "H"), ("headline", "I"), ("rule", "-" * 40), ("rule", "-" * 40), ("paragraph", "x")]),
+    ("==\n---\n#", [("paragraph", "==\n---"), ("numbered", "# ")]),
+    (None, None),
+]
+
+
+def test_blocks(apply):
+    texts = [text for text, _ in BLOCKS]
+    found = apply(lines.render_blocks, texts)
+    assert [None if f is None else [(b.kind, b.text) for b in f] for f in found] == [blocks for _, blocks in BLOCKS]
+    pages = apply(lines.render_page, texts)
+    assert pages[2:4] == ["one a\ntwo y\n\nthree", "int '''x''';\n [[y]]\nz\nend"]
+    assert pages[0] == "" and pages[-1] is None
+
+
+def test_blocks_of_long_pages(apply):
+    """Four times the lines take at most five times the time."""
+    seconds = []
+    for times in (20_000, 80_000):
+        began = time.monotonic()
+        found = apply(lines.render_blocks, ["== H ==\na\nb\n\n* c\n code\n" * times])
+        seconds.append(time.monotonic() - began)
+        assert len(found[0]) == 4 * times
+    assert seconds[1] <= 5 * max(seconds[0], 1.0), seconds
+
 
 @pytest.mark.parametrize("function,text,expected", CASES)
 def test_operators(apply, function, text, expected):

@@ -115,6 +115,53 @@ def render(t: str) -> str:
     return sub(t, rf"\[({URI})\]", r"\1")
 
 
+HEADLINES = "|".join(rf"={{{n}}}[ \t]*[^=](?:.*[^=\s])?[ \t]*={{{n}}}" for n in range(6, 0, -1))
+#: Lines with their kind, whether they begin a block, and the blocks.
+BLOCKS = [
+    ("split_lines", "SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM texts"),
+    (
+        "kind_lines",
+        f"""SELECT *, CASE WHEN regexp_matches(l, '^[ \\t\\r]*$') THEN 'break' WHEN regexp_matches(l, '^-{{4,}}[ \\t]*$') THEN 'rule'
+        WHEN regexp_matches(l, {text(rf"^(?:{HEADLINES})[ \t]*$")}) THEN 'headline' WHEN regexp_matches(l, '^( |\\t+)') THEN 'code'
+        WHEN regexp_matches(l, '^[*#:;]*#([^*#:;]|$)') THEN 'numbered' WHEN regexp_matches(l, '^[*#:;]') THEN 'item'
+        ELSE 'paragraph' END AS kind FROM split_lines""",
+    ),
+    (
+        "shown_lines",
+        f"""SELECT doc_id, i, kind, CASE kind WHEN 'code' THEN regexp_replace(l, '^( |\\t+)', '') ELSE {render("l")} END AS text,
+        CAST(kind IN ('rule', 'headline') OR kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY doc_id ORDER BY i) AS INT) AS first
+        FROM kind_lines""",
+    ),
+    ("run_lines", "SELECT *, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM shown_lines"),
+    (
+        "blocks",
+        """SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS block, kind, text FROM
+        (SELECT doc_id, run, any_value(kind) AS kind, string_agg(text, chr(10) ORDER BY i) AS text FROM run_lines
+         WHERE kind <> 'break' GROUP BY doc_id, run)""",
+    ),
+]
+# Blocks under each other, with an empty line behind a paragraph that others follow.
+JOINED_BLOCKS = """SELECT t.doc_id, coalesce(p.text, '') AS text FROM texts t LEFT JOIN (
+  SELECT doc_id, string_agg(text || CASE WHEN kind = 'paragraph' AND block < last THEN chr(10) ELSE '' END, chr(10) ORDER BY block) AS text
+  FROM (SELECT *, max(block) OVER (PARTITION BY doc_id) AS last FROM blocks) GROUP BY doc_id) p ON p.doc_id = t.doc_id"""
+
+# Tokens of regions that begin with a word and end by brackets, and their depths.
+WORD_REGIONS = [
+    (
+        "word_letters",
+        r"""SELECT doc_id, l, list_reduce(l, lambda acc, x: acc || chr(CASE
+        WHEN acc[-1] = 'A' THEN CASE WHEN x = 'Category:' THEN 66 ELSE 65 END
+        WHEN x = '[[' THEN ascii(acc[-1]) + 1 WHEN x = ']]' THEN ascii(acc[-1]) - 1 ELSE ascii(acc[-1]) END), 'A') AS ds
+        FROM (SELECT doc_id, regexp_extract_all(t, 'Category:|\[\[|\]\]|[^C\[\]]+|[C\[\]]') AS l FROM texts)""",
+    ),
+    (
+        "word_depth",
+        "SELECT doc_id, tok, i, ascii(ds[CAST(i AS INT) + 1]) - 65 AS d FROM "
+        "(SELECT doc_id, ds, unnest(l) AS tok, generate_subscripts(l, 1) AS i FROM word_letters)",
+    ),
+]
+
+
 # --- Balanced regions ------------------------------------------------------
 
 TOKENS = {
@@ -564,6 +611,9 @@ def oracle_sql() -> dict[str, str]:
             *HEAD,
         ),
         "render_lines": on_text(render("t")),
+        "render_page": with_views(JOINED_BLOCKS, SOURCE, *BLOCKS),
+        "render_blocks": with_views("SELECT doc_id, CAST(block AS BIGINT) AS block, kind, text FROM blocks", SOURCE, *BLOCKS),
+        "remove_any_delimiters": with_views("SELECT doc_id, t AS text FROM word", SOURCE, *WORD_REGIONS, *_kept("texts", "word")),
         "tighten_parentheses": on_text(tighten("t")),
         "abbreviation_dots": with_views(
             "SELECT doc_id, CAST(p AS BIGINT) AS dot, CAST(abbreviation AS BIGINT) AS abbreviation FROM dots WHERE n <= 15", *DOTS

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry import Wiki
-from pagequarry.functions import abstracts, lines, markup, titles
+from pagequarry.functions import abstracts, balanced, lines, markup, titles
 from pagequarry.operators import categories, cleaning, hierarchy, importing, lookup
 from pagequarry.plans import articles, corpus, labels
 from pagequarry.session import scratch_path
@@ -549,6 +549,7 @@ TEXT_OPERATORS: dict[str, Callable[[Column], Column]] = {
     "wiki_to_plaintext_with_headlines": lambda text: markup.wiki_to_plaintext(text, headlines="keep_text"),
     "extract_abstract": abstracts.extract_abstract,
     "render_lines": lines.render_lines,
+    "render_page": lines.render_page,
     "tighten_parentheses": markup.tighten_parentheses,
 }
 for _name, _function in TEXT_OPERATORS.items():
@@ -564,6 +565,20 @@ def abbreviation_dots(data: Data) -> DataFrame:
     )
 
 
+@query
+def render_blocks(data: Data) -> DataFrame:
+    """Paragraphs, lists, code, rules and headlines of every page, in order."""
+    blocks = _texts(data).select("doc_id", F.posexplode(lines.render_blocks(F.col("text"))).alias("block", "b"))
+    return blocks.select("doc_id", big("block"), "b.kind", "b.text")
+
+
+@query
+def remove_any_delimiters(data: Data) -> DataFrame:
+    """Regions that begin with a word and end by brackets."""
+    region = balanced.Region.of("[[", "]]", "Category:")
+    return _texts(data).select("doc_id", balanced.remove_regions(F.col("text"), region).alias("text"))
+
+
 @query
 def extract_person_data(data: Data) -> DataFrame:
     return cleaning.extract_person_data(data["w_wikitext"].select("page_id", F.col("wikitext").alias("text")))
