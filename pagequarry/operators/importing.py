@@ -195,16 +195,20 @@ def skip_loaded(raw: DataFrame, loaded_pages: DataFrame) -> DataFrame:
     return raw.join(done, number(F.col("id")) == F.col("_done"), "left_anti")
 
 
-def import_statistics(raw: DataFrame) -> DataFrame:
-    """Pages, revisions and bytes of text, in one pass with partial sums."""
+def statistics_columns() -> list[Column]:
+    """Pages, revisions and bytes of text, as aggregates over raw pages."""
     texts = F.transform("revision", lambda r: byte_length(r["text"]))
-    return raw.agg(
+    size = F.aggregate(texts, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return [
         F.count(F.lit(1)).alias("pages"),
         F.coalesce(F.sum(F.size("revision")), F.lit(0)).cast("bigint").alias("revisions"),
-        F.coalesce(
-            F.sum(F.aggregate(texts, F.lit(0).cast("bigint"), lambda a, b: a + b)), F.lit(0)
-        ).cast("bigint").alias("text_bytes"),
-    )
+        F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("text_bytes"),
+    ]
+
+
+def import_statistics(raw: DataFrame) -> DataFrame:
+    """Pages, revisions and bytes of text, in one pass with partial sums."""
+    return raw.agg(*statistics_columns())
 
 
 def import_pages(raw: DataFrame, namespaces: DataFrame) -> Imported:

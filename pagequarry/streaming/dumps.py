@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pagequarry.operators.importing import (
-    NUMBER_FORM, is_number, is_timestamp, narrowed, number, page_rows, rejected_rows, revision_rows, text_rows,
+    NUMBER_FORM, is_number, is_timestamp, narrowed, number, page_rows, rejected_rows, revision_rows, statistics_columns,
+    text_rows,
 )
 from pagequarry.scale import materialise
 from pagequarry.session import drop_scratch, scratch_path
@@ -25,6 +29,75 @@ def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 64
     return parse_pages(records)
 
 
+#: Name of the metrics that an import observes in every batch.
+METRICS = "import_progress"
+
+
+@dataclass(frozen=True)
+class Progress:
+    """What an import had read when a batch ended: pages as they arrive, those
+    skipped later included, and the seconds its batches took."""
+
+    batch: int
+    pages: int
+    revisions: int
+    text_bytes: int
+    seconds: float
+
+    def rates(self) -> dict[str, float]:
+        """Pages, revisions and bytes a second since the query started."""
+        seconds = max(self.seconds, 1e-3)
+        return {name: getattr(self, name) / seconds for name in ("pages", "revisions", "text_bytes")}
+
+    def line(self) -> str:
+        rate = self.rates()
+        return (
+            f"batch {self.batch}: {self.pages} pages ({rate['pages']:.3f}/s), {self.revisions} revisions "
+            f"({rate['revisions']:.3f}/s), {self.text_bytes} bytes of text in {self.seconds:.1f} seconds"
+        )
+
+
+def log_progress(progress: Progress) -> None:
+    logging.getLogger(__name__).info(progress.line())
+
+
+class ImportProgress(StreamingQueryListener):
+    """Tells the running totals of every import of a session as its batches end.
+
+    The figures are metrics observed by the tasks that parse the batch, so no
+    job is run for them; the driver keeps one total for each running query.
+    Add it with ``spark.streams.addListener``. Totals begin anew when a query is
+    started again, as the seconds do.
+    """
+
+    def __init__(self, tell: Callable[[Progress], None] = log_progress) -> None:
+        self._tell = tell
+        self._totals: dict[str, Progress] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._totals[str(event.runId)] = Progress(-1, 0, 0, 0, 0.0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = progress.observedMetrics.get(METRICS)
+        if seen is None or not progress.numInputRows:
+            return
+        run = str(progress.runId)
+        before = self._totals.get(run, Progress(-1, 0, 0, 0, 0.0))
+        total = Progress(
+            progress.batchId, before.pages + seen["pages"], before.revisions + seen["revisions"],
+            before.text_bytes + seen["text_bytes"], before.seconds + progress.batchDuration / 1000,
+        )
+        self._totals[run] = total
+        self._tell(total)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._totals.pop(str(event.runId), None)
+
+
 #: Batches whose state is merged into one table.
 MERGED = 16
 
@@ -44,7 +117,8 @@ def start_import(
     bodies that another wrote. A batch has its own folder and replaces it as a
     whole, so a batch run again after a failure leaves no row twice. Its pages
     are staged as Parquet in the shared folder, for the tables read them more
-    than once. ``once`` takes what is there and ends.
+    than once. ``once`` takes what is there and ends. What a batch read is
+    observed as ``METRICS``, which :class:`ImportProgress` tells.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +142,7 @@ def start_import(
             _state(spark, base, batch_id + 1).write.mode("overwrite").parquet(f"{base}/merged/{batch_id}")
         drop_scratch(spark, staged)
 
-    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
+    writer = raw.observe(METRICS, *statistics_columns()).writeStream.option("checkpointLocation", checkpoint).foreachBatch(load)
     writer = writer.trigger(availableNow=True) if once else writer
     return writer.start()
 

@@ -3,6 +3,7 @@
 import bz2
 import gzip
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +204,38 @@ def test_stream_takes_new_files_once(spark, dumps, tmp_path):
     assert stream.imported_table(spark, base, "rejected").columns == ["title", "page", "revision", "reason", "value"]
 
 
+def test_stream_tells_its_progress(spark, dumps, tmp_path):
+    """One row a batch while it runs, with totals and rates; a second run begins anew."""
+    folder, base, state = (str(tmp_path / n) for n in ("drop", "out", "state"))
+    (tmp_path / "drop").mkdir()
+    names = dump.read_namespaces(spark, str(dumps / "a.xml"))
+    told = []
+    listener = stream.ImportProgress(told.append)
+    spark.streams.addListener(listener)
+
+    def run(rows):
+        stream.start_import(stream.read_page_stream(spark, folder, files_per_batch=1), names, base, state).awaitTermination()
+        until = time.monotonic() + 30  # listeners are told behind the query
+        while (len(told) < rows or listener._totals) and time.monotonic() < until:
+            time.sleep(0.1)
+
+    try:
+        for n in (1, 2):
+            (tmp_path / f"drop/{n}.xml").write_text(HEADER + PAGES + "</wiki>")
+        run(2)
+        whole = importing.import_statistics(stream.well_formed(dump.read_pages(spark, folder))).first()
+        assert [p.batch for p in told] == [0, 1]
+        assert (told[1].pages, told[1].revisions, told[1].text_bytes) == tuple(whole)
+        assert told[0].pages * 2 == told[1].pages and 0 < told[0].seconds < told[1].seconds
+        assert told[1].rates()["pages"] == told[1].pages / told[1].seconds
+        assert told[1].line().startswith(f"batch 1: {whole.pages} pages (")
+        (tmp_path / "drop/3.xml").write_text(HEADER + PAGES + "</wiki>")
+        run(3)
+        assert (told[2].batch, told[2].pages) == (2, told[0].pages)
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def test_stream_takes_newer_revisions(spark, dumps, tmp_path, monkeypatch):
     monkeypatch.setattr(stream, "MERGED", 2)
     folder, base, state = (str(tmp_path / n) for n in ("drop", "out", "state"))
