@@ -195,13 +195,15 @@ def eligible_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> D
 
 def page_categories(wiki: Wiki, names: DataFrame, min_members: int = 1) -> DataFrame:
     """``(page_id, category)``: members of the eligible categories."""
-    members = category_pages(wiki, names.where(~F.col("name").contains("/")))
+    stored, size = materialise(stored_names(names.where(~F.col("name").contains("/"))))
+    members = _members(wiki, stored, size, wiki.namespace)
     if min_members <= 1:
         return members
-    # Ids and names only; counted once, then read again for the result.
+    # Ids and names only; counted once, then read again for the result. There
+    # are no more categories with enough members than names, which were measured.
     members, _ = materialise(members)
     counts = members.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
-    enough, size = materialise(counts.where(F.col("_n") >= min_members).select("category"))
+    enough = counts.where(F.col("_n") >= min_members).select("category")
     return members.join(broadcast_if_small(enough, size), "category")
 
 

@@ -22,7 +22,11 @@ def size_metrics(df: DataFrame) -> list[Column]:
     """Rows of ``df`` and an upper estimate of their bytes, as aggregates."""
     width = F.lit(0)
     for field in df.schema.fields:
-        size = F.octet_length(field.name) if field.dataType.typeName() in ("string", "binary") else F.lit(8)
+        kind = field.dataType.simpleString()
+        size = F.octet_length(field.name) if kind in ("string", "binary") else F.lit(8)
+        if kind == "array<string>":
+            add = lambda total, value: total + F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(16)
+            size = F.aggregate(field.name, F.lit(0), add)
         width = width + F.coalesce(size, F.lit(0)) + F.lit(16)
     return [F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")]
 

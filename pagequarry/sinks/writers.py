@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def write_corpus(corpus: Corpus, path: str, articles: bool = True) -> None:
     write_articles(corpus.articles, f"{path}/articles")
     # The lists follow the articles written: their texts are not made twice.
     written = corpus.articles.sparkSession.read.parquet(f"{path}/articles")
-    write_category_lists(Corpus(corpus.labels, written, corpus.missing).label_lists(), f"{path}/category_mappings")
+    write_category_lists(replace(corpus, articles=written).label_lists(), f"{path}/category_mappings")
 
 
 def write_hierarchy(lines: DataFrame, path: str) -> None:

@@ -251,6 +251,18 @@ def test_corpus(spark, wiki, tmp_path, any_join):
     assert rows(low) == [("1",), ("2",)]
     assert rows(spark.read.parquet(f"{path}/category_mappings")) == [(1, 0, "Left\nLow"), (2, 0, "Low")]
     assert ("3\tRight",) in rows(spark.read.text(f"{path}/page_categories"))
+    labelled = found.labelled_articles()
+    assert rows(labelled.select("page_id", "part", "text", F.concat_ws(",", "categories"))) == [
+        (1, 0, "latest  text is long", "Left,Low"), (2, 0, "puck", "Low"),
+    ]
+
+
+def test_bodies_are_moved_last(wiki):
+    """With few pages no exchange lies above the scan of the bodies."""
+    plan = corpus.extract_corpus(wiki, ["Top"], subcategories=True).labelled_articles()
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("old_text")]
+    assert "BroadcastHashJoin" in above and "hashpartitioning" not in plan
 
 
 def test_listing(wiki):

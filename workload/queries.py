@@ -599,8 +599,7 @@ def _corpus(data: Data) -> corpus.Corpus:
 @query
 def extract_corpus(data: Data) -> DataFrame:
     """Cleaned latest text and labels of every article below the root."""
-    found = _corpus(data)
-    return found.articles.join(categories.page_category_lists(found.labels), "page_id").select(
+    return _corpus(data).labelled_articles().select(
         "page_id", "text", big("part"), F.concat_ws("\n", "categories").alias("categories")
     )
 
