@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pagequarry.session import scratch_path
 
@@ -64,15 +63,21 @@ def small_batches(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterato
             yield batch.slice(at, rows)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a new folder in the shared place and read back.
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet to a new folder in the shared place and read
+    back, and that folder, which ``drop_scratch`` deletes.
 
     Cuts the lineage: a lost executor costs a read of these files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`staged`, for a table that stays."""
+    return staged(df, name)[0]
 
 
 def shared_files(path: str) -> tuple[fs.FileSystem, str]:
@@ -92,12 +97,3 @@ def write_file(files: fs.FileSystem, path: str, chunks: Iterator[bytes]) -> int:
             size += out.write(chunk)
     files.move(attempt, path)
     return size
-
-
-def empty_like(df: DataFrame, schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
-
-
-def any_null_first(column: str):
-    """Sort order that puts nulls first, for a defined order of nullable ids."""
-    return F.col(column).asc_nulls_first()

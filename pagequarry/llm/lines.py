@@ -7,11 +7,19 @@ is removed.
 
 Lines with equal sets form a class, and all but the first are removed at once.
 For the classes, tokens are put in one global order from rare to frequent; alike
-sets must share two tokens among their first ``n - ceil(threshold n) + 2``. Those
-prefixes are joined by token, with the length filter and the positional bound on
-the overlap as join conditions, and pairs met twice are verified on the whole
-sets. (Different sets that are alike have two tokens in common at least: the
-threshold is above a half.)
+sets must share two tokens among their first ``n - ceil(threshold n) + 2``.
+(Different sets that are alike have two tokens in common at least: the threshold
+is above a half.)
+
+A class goes as soon as one earlier class is like it. So first, every class is
+held only against the earliest open class of each of its prefix tokens, if it
+meets that one twice: at most one candidate for two tokens. Classes found alike
+are settled and look no further, and the next round takes the earliest of those
+left, while rounds settle many. What is still open is joined by token with *all*
+earlier classes, settled ones too, with the length filter and the positional
+bound on the overlap as join conditions. Pairs met twice are verified on the
+whole sets. So a group of like lines costs its size, not its square; the rounds
+only save work, and the last join makes the result exact.
 
 Rarity is counted over all lines in ``COUNTERS`` hashed counters, a table of
 fixed size that goes to every task: any one order keeps the join exact, and a
@@ -28,9 +36,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import stage
+from pagequarry.llm.common import stage, staged
+from pagequarry.scale import BROADCAST_ROWS
+from pagequarry.session import drop_scratch
 
 THRESHOLD = 0.8
+ROUNDS = 4  # at most, of settling before the full join
+WORTHWHILE = 0.1  # a round that settles less than this share of the first is the last
 COUNTERS = 1 << 16
 MIN_TOKENS = 2  # of different sets that can be alike
 
@@ -75,7 +87,7 @@ def rarity(firsts: DataFrame) -> bytes:
 
 def similar_classes(firsts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(number,)`` of classes with a different, earlier class that is alike,
-    of ``firsts(number, place, line)``."""
+    of ``firsts(number, line)``, numbered in the order of their places."""
     share = round(100 * threshold)
     if share <= 50:
         raise ValueError("the threshold must be above a half")
@@ -89,24 +101,57 @@ def similar_classes(firsts: DataFrame, threshold: float = THRESHOLD) -> DataFram
     prefix = F.slice("sorted", F.lit(1), n - _ceil(n, share, 100) + 2)
     heads = firsts.select("number", hashes.alias("hashes")).select("number", F.sort_array(F.transform("hashes", entry)).alias("sorted"))
     heads = heads.where(n >= MIN_TOKENS).select("number", n.alias("n"), F.posexplode(prefix).alias("at", "token"))
-    x, y = heads.alias("x"), heads.alias("y")
+    heads, folder = staged(heads, "heads")
+    found, still_open = [], heads
+    for _ in range(ROUNDS):
+        pivots = still_open.groupBy("token").agg(F.min("number").alias("one"))
+        met = still_open.select("token", F.col("number").alias("two")).join(pivots.hint("merge"), "token").where("two > one")
+        settled = _alike(_met_twice(met), firsts, share)
+        found.append((settled, settled.count()))
+        still_open = _without(still_open, *found[-1])
+        if found[-1][1] <= WORTHWHILE * found[0][1]:
+            break
+    x, y = heads.alias("x"), still_open.alias("y")
     fits = (
         (F.col("x.token") == F.col("y.token")) & (F.col("x.number") < F.col("y.number"))
         # Lengths, then what can be shared: a token before, and those from its place on.
         & (F.col("x.n") * 100 >= F.col("y.n") * share) & (F.col("y.n") * 100 >= F.col("x.n") * share)
         & (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + 1 >= _ceil(F.col("x.n") + F.col("y.n"), share, 100 + share))
     )
-    pairs = x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two"))
-    pairs = pairs.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
-    pairs = stage(pairs, "pairs")
+    met = x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two"))
+    later = _alike(_met_twice(met), firsts, share)
+    drop_scratch(firsts.sparkSession, folder)
+    # A class is settled once, and not met in the last join again.
+    for settled, _ in found:
+        later = later.unionByName(settled)
+    return later
+
+
+def _met_twice(met: DataFrame) -> DataFrame:
+    return met.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
+
+
+def _without(heads: DataFrame, settled: DataFrame, count: int) -> DataFrame:
+    """``heads`` of other classes; few settled ones (counted) are broadcast."""
+    few = F.broadcast(settled) if count <= BROADCAST_ROWS else settled.hint("merge")
+    return heads.join(few, "number", "left_anti")
+
+
+def _alike(pairs: DataFrame, firsts: DataFrame, share: int) -> DataFrame:
+    """``(number,)``, stored: each ``two`` whose whole set is like that of a ``one``."""
+    spark = firsts.sparkSession
+    pairs, pairs_folder = staged(pairs, "pairs")
     ids = pairs.select(F.col("one").alias("number")).union(pairs.select("two")).distinct()
-    sets = stage(firsts.join(ids.hint("merge"), "number", "left_semi").select("number", "place", tokens().alias("tokens")), "sets")
-    one = sets.select(F.col("number").alias("one"), F.col("place").alias("p1"), F.col("tokens").alias("t1"))
-    two = sets.select(F.col("number").alias("two"), F.col("place").alias("p2"), F.col("tokens").alias("t2"))
+    sets, sets_folder = staged(firsts.join(ids.hint("merge"), "number", "left_semi").select("number", tokens().alias("tokens")), "sets")
+    one = sets.select(F.col("number").alias("one"), F.col("tokens").alias("t1"))
+    two = sets.select(F.col("number").alias("two"), F.col("tokens").alias("t2"))
     joined = pairs.join(one.hint("merge"), "one").join(two.hint("merge"), "two")
     shared = F.size(F.array_intersect("t1", "t2"))
     alike = joined.where(shared * 100 >= (F.size("t1") + F.size("t2") - shared) * share)
-    return alike.select(F.when(F.col("p1") < F.col("p2"), F.col("two")).otherwise(F.col("one")).alias("number")).distinct()
+    found = stage(alike.select(F.col("two").alias("number")).distinct(), "settled")
+    drop_scratch(spark, pairs_folder)
+    drop_scratch(spark, sets_folder)
+    return found
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -114,7 +159,9 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     keyed = keyed_lines(split_lines(docs))
     place = F.struct("doc_id", "line_no", F.xxhash64("line").alias("mark"))
     firsts = keyed.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(place.alias("place"), F.col("line"))).alias("first"))
-    firsts = stage(firsts.select(F.monotonically_increasing_id().alias("number"), "k1", "k2", "first.place", "first.line"), "firsts")
+    # Numbers in the order of the places: ids grow along a sorted table.
+    firsts = firsts.select("k1", "k2", "first.place", "first.line").orderBy("place")
+    firsts = stage(firsts.select(F.monotonically_increasing_id().alias("number"), "k1", "k2", "place", "line"), "firsts")
     later = similar_classes(firsts, threshold).withColumn("alike", F.lit(True))
     classes = firsts.select("number", "k1", "k2", "place").join(later.hint("merge"), "number", "left").drop("number")
     narrow = keyed.select("doc_id", "line_no", "k1", "k2", place.alias("own"))

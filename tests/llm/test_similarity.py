@@ -186,5 +186,29 @@ def test_lines(documents, rows):
         assert kept[doc] == "\n".join(line for n, line in enumerate((text or "").split("\n")) if (doc, n) not in gone)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_lines_settled_in_rounds(documents, rows, monkeypatch, rounds):
+    """Chains of like lines, whose ends are unlike, whatever the rounds settle."""
+    monkeypatch.setattr(lines, "ROUNDS", rounds)
+    chain = [" ".join(f"w{n}" for n in range(at, at + 12)) for at in range(40)]
+    random = np.random.default_rng(5)
+    docs = [(n, "\n".join(random.permutation(chain[n % 7 :: 3]).tolist())) for n in range(8)]
+    got = rows(lines.removed_lines(documents(docs)).select("doc_id", "line_no", "removed"))
+    assert got == plain_lines(docs)
+
+
+def test_a_large_group_of_like_lines(documents, rows, monkeypatch):
+    """Five thousand lines like the first: pairs verified grow with the group, not with its square."""
+    base = [f"b{n}" for n in range(30)]
+    docs = [(n, " ".join([*base[: n % 30], f"own{n}", *base[n % 30 + 1 :]])) for n in range(5000)]
+    docs = [(-1, " ".join(base)), *docs]
+    verified = []
+    plain = lines._alike
+    monkeypatch.setattr(lines, "_alike", lambda pairs, *more: (verified.append(pairs.count()), plain(pairs, *more))[1])
+    got = rows(lines.removed_lines(documents(docs)).select("doc_id", "removed"))
+    assert got == sorted(((d, d >= 0) for d, _ in docs), key=repr)
+    assert sum(verified) <= 4 * len(docs), verified
+
+
 def test_lines_of_no_documents(documents):
     assert lines.removed_lines(documents([(1, "a")]).limit(0)).collect() == []
