@@ -41,7 +41,7 @@ from pagequarry.scale import BROADCAST_ROWS
 from pagequarry.session import drop_scratch
 
 THRESHOLD = 0.8
-ROUNDS = 4  # at most, of settling before the full join
+ROUNDS = 1  # at most, of settling before the full join
 WORTHWHILE = 0.1  # a round that settles less than this share of the first is the last
 COUNTERS = 1 << 16
 MIN_TOKENS = 2  # of different sets that can be alike
