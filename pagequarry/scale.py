@@ -57,6 +57,16 @@ def broadcast_if_small(df: DataFrame, size: Size | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(size or measure(df)) else df
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The rows of a scan, dealt to a partition per core by a running number.
+
+    ``repartition(n)`` alone sorts whole rows first, to deal them alike when a
+    task is run again, and spills where a file is one split. A scan numbers its
+    rows alike each time, so nothing is sorted here.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.monotonically_increasing_id())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give the work behind a plain scan at least one partition per core.
 

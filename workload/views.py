@@ -10,6 +10,7 @@ are raw pages of a dump.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry import Wiki
+from pagequarry.scale import dealt_out
 from pagequarry.session import scratch_path, tune
 
 # The tables the views are made of.
@@ -175,8 +177,10 @@ SELECT event_id,
 FROM events
 """
 
-# Views with texts: the driver's file is one split, the table gets several.
-SPREAD = ("w_wikitext", "w_text", "w_raw")
+# Tables that views with texts come from: the driver's file is one split, so its
+# rows are dealt out before the texts are made, which are several times as wide.
+SPREAD = ("documents", "conversations", "events")
+TEXTS = ("w_wikitext", "w_text", "w_raw")
 
 # In dependency order.
 VIEWS = {
@@ -191,27 +195,37 @@ VIEWS = {
 
 
 class Data:
-    """The views as Parquet tables in the shared folder, made once per session
-    and folder of driver tables, as a wiki's tables are stored ones."""
+    """The views as Parquet tables in the shared folder, as a wiki's tables are
+    stored ones. Each is made once per session and folder of driver tables, when
+    a query first reads it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
-        base = scratch_path(spark, "wiki-tables")
-        for name in TABLES:
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        self.base = scratch_path(spark, "wiki-tables")
+        self.tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
         self.frames: dict[str, DataFrame] = {}
         self.files: dict[str, str] = {}
-        for name, sql in VIEWS.items():
-            frame = spark.sql(sql)
-            if name in SPREAD:
-                frame = frame.repartition(spark.sparkContext.defaultParallelism)
-            frame.write.parquet(f"{base}/{name}")
-            self.frames[name] = spark.read.parquet(f"{base}/{name}")
-            self.frames[name].createOrReplaceTempView(name)
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = self._made(name)
         return self.frames[name]
 
+    def _made(self, name: str) -> DataFrame:
+        sql, path = VIEWS[name], f"{self.base}/{name}"
+        read = {view: self[view] for view in VIEWS if re.search(rf"\b{view}\b", sql)}
+        # A category link holds no text: its tables are read as they are.
+        dealt = SPREAD if name in TEXTS else ()
+        for table, rows in {**self.tables, **read}.items():
+            (dealt_out(rows) if table in dealt else rows).createOrReplaceTempView(table)
+        self.spark.sql(sql).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def make_all(self) -> None:
+        """Make every view not made yet."""
+        for name in VIEWS:
+            self[name]
+
     def file(self, name: str, write: Callable[[str], None]) -> str:
         """Folder of derived files, written when first asked for."""
         if name not in self.files:
@@ -229,6 +243,10 @@ class Data:
             **settings,
         )
 
+    def graph(self) -> Wiki:
+        """The wiki for what reads pages and category links alone."""
+        return Wiki(page=self["w_page"], categorylinks=self["w_categorylinks"])
+
     def raw_pages(self) -> DataFrame:
         """``w_raw`` in the nested form of a parsed dump."""
         contributor = F.struct("username", F.col("user_id").alias("id"), "ip")
