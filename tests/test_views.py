@@ -15,6 +15,9 @@ def test_a_query_makes_the_views_it_reads(spark):
     data = Data(spark, SMALLEST)
     REGISTRY["tighten_parentheses"](data).count()
     assert set(data.frames) == {"w_wikitext"}
+    for name in ("classify_vertices", "label_hierarchy"):
+        REGISTRY[name](data).count()
+    assert set(data.frames) == {"w_wikitext", "w_page", "w_categorylinks"}
 
 
 def test_views_keep_the_rows_of_their_sql(spark):

@@ -339,7 +339,7 @@ def decode_text(data: Data) -> DataFrame:
 
 @query
 def random_pages(data: Data) -> DataFrame:
-    return lookup.random_pages(data.wiki(), n=25, seed=7)
+    return lookup.random_pages(data.graph(), n=25, seed=7)
 
 
 def _asked(data: Data) -> DataFrame:
@@ -355,14 +355,14 @@ def _asked(data: Data) -> DataFrame:
 
 @query
 def resolve_titles(data: Data) -> DataFrame:
-    return lookup.resolve_titles(data.wiki(), _asked(data)).select(
+    return lookup.resolve_titles(data.graph(), _asked(data)).select(
         "title", big("page_namespace"), "page_title", "page_id"
     )
 
 
 @query
 def unresolved_titles(data: Data) -> DataFrame:
-    return lookup.unresolved_titles(data.wiki(), _asked(data))
+    return lookup.unresolved_titles(data.graph(), _asked(data))
 
 
 @query
@@ -414,12 +414,12 @@ def check_summary(data: Data) -> DataFrame:
 
 @query
 def direct_subcategories(data: Data) -> DataFrame:
-    return categories.direct_subcategories(data.wiki(), all_names(data))
+    return categories.direct_subcategories(data.graph(), all_names(data))
 
 
 @query
 def all_subcategories(data: Data) -> DataFrame:
-    wiki = data.wiki()
+    wiki = data.graph()
     return categories.all_subcategories(wiki, categories.named(wiki, ROOT)).select(
         "root", "name", "page_id", big("depth")
     )
@@ -427,27 +427,27 @@ def all_subcategories(data: Data) -> DataFrame:
 
 @query
 def subcategory_edges(data: Data) -> DataFrame:
-    return categories.subcategory_edges(data.wiki(), ROOT)
+    return categories.subcategory_edges(data.graph(), ROOT)
 
 
 @query
 def category_pages(data: Data) -> DataFrame:
-    return categories.category_pages(data.wiki(), all_names(data))
+    return categories.category_pages(data.graph(), all_names(data))
 
 
 @query
 def category_counts(data: Data) -> DataFrame:
-    return categories.category_counts(data.wiki(), all_names(data))
+    return categories.category_counts(data.graph(), all_names(data))
 
 
 @query
 def category_set_pages(data: Data) -> DataFrame:
-    return categories.category_set_pages(data.wiki(), ROOT, recursive=True)
+    return categories.category_set_pages(data.graph(), ROOT, recursive=True)
 
 
 @query
 def expand_categories(data: Data) -> DataFrame:
-    wiki = data.wiki()
+    wiki = data.graph()
     given = categories.named(wiki, "EUROPE", "Part 1", "nowhere")
     return categories.expand_categories(wiki, given).join(
         given.withColumn("given", F.lit(True)), "name", "left"
@@ -456,12 +456,12 @@ def expand_categories(data: Data) -> DataFrame:
 
 @query
 def eligible_categories(data: Data) -> DataFrame:
-    return categories.eligible_categories(data.wiki(), all_names(data), MIN_MEMBERS)
+    return categories.eligible_categories(data.graph(), all_names(data), MIN_MEMBERS)
 
 
 @query
 def page_categories(data: Data) -> DataFrame:
-    found = categories.page_categories(data.wiki(), all_names(data), MIN_MEMBERS)
+    found = categories.page_categories(data.graph(), all_names(data), MIN_MEMBERS)
     return categories.page_category_lists(found).select(
         "page_id", big("part"), F.concat_ws("\n", "categories").alias("categories")
     )
@@ -469,7 +469,7 @@ def page_categories(data: Data) -> DataFrame:
 
 @query
 def list_subcategories(data: Data) -> DataFrame:
-    return categories.list_subcategories(data.wiki(), ROOT, everything=True)
+    return categories.list_subcategories(data.graph(), ROOT, everything=True)
 
 
 # --- Label hierarchy -------------------------------------------------------
@@ -477,7 +477,7 @@ def list_subcategories(data: Data) -> DataFrame:
 
 def _edges(data: Data) -> DataFrame:
     """Every subcategory edge of the wiki."""
-    return categories.subcategory_links(data.wiki()).select(F.col("name").alias("child"), "parent")
+    return categories.subcategory_links(data.graph()).select(F.col("name").alias("child"), "parent")
 
 
 @query
@@ -508,7 +508,7 @@ def transitive_closure(data: Data) -> DataFrame:
 
 @query
 def label_hierarchy(data: Data) -> DataFrame:
-    return hierarchy.label_hierarchy(data.wiki(), ROOT, 1).select("category", big("part"), "supercategories")
+    return hierarchy.label_hierarchy(data.graph(), ROOT, 1).select("category", big("part"), "supercategories")
 
 
 # --- Text ------------------------------------------------------------------
@@ -607,7 +607,7 @@ def extract_corpus(data: Data) -> DataFrame:
 @query
 def write_member_lists(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "members")
-    writers.write_member_lists(categories.page_categories(data.wiki(), all_names(data), MIN_MEMBERS), path)
+    writers.write_member_lists(categories.page_categories(data.graph(), all_names(data), MIN_MEMBERS), path)
     return data.spark.read.parquet(path).select("category", F.col("page_id").cast("string").alias("page_id"))
 
 
@@ -632,14 +632,14 @@ def write_corpus(data: Data) -> DataFrame:
 @query
 def write_label_pairs(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "pairs")
-    writers.write_label_pairs(categories.page_categories(data.wiki(), all_names(data)), path)
+    writers.write_label_pairs(categories.page_categories(data.graph(), all_names(data)), path)
     return data.spark.read.text(path)
 
 
 @query
 def write_hierarchy(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "hierarchy")
-    writers.write_hierarchy(labels.hierarchy_lines(data.wiki(), ROOT, MIN_MEMBERS), path)
+    writers.write_hierarchy(labels.hierarchy_lines(data.graph(), ROOT, MIN_MEMBERS), path)
     return data.spark.read.text(path)
 
 
