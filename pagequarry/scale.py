@@ -75,7 +75,7 @@ def spread(df: DataFrame) -> DataFrame:
     input that cannot be split) is redistributed.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return dealt_out(df) if df.rdd.getNumPartitions() < cores else df
 
 
 def sorted_lists(df: DataFrame, key: str, value: str, alias: str, part_rows: int = LIST_ROWS) -> DataFrame:

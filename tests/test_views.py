@@ -1,6 +1,8 @@
 """Views are made when read, and rows are dealt out without a sort."""
 
-from pagequarry.scale import dealt_out
+from pyspark.sql import functions as F
+
+from pagequarry.scale import dealt_out, spread
 from workload.queries import REGISTRY
 from workload.views import TABLES, VIEWS, Data
 
@@ -32,7 +34,10 @@ def test_views_keep_the_rows_of_their_sql(spark):
         assert data[name].exceptAll(expected).isEmpty() and expected.exceptAll(data[name]).isEmpty(), name
 
 
-def test_dealing_sorts_no_rows(spark):
-    df = dealt_out(spark.read.parquet(f"{SMALLEST}/events.parquet"))
-    assert "RoundRobin" not in plan(df) and "hashpartitioning(_nondeterministic" in plan(df)
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_dealing_sorts_no_rows_and_keeps_copies_apart(spark, tmp_path):
+    spark.createDataFrame([("x" * 50,)] * 800, "value string").coalesce(1).write.text(str(tmp_path / "one"))
+    df = spread(spark.read.text(str(tmp_path / "one")))
+    assert "hashpartitioning(_nondeterministic" in plan(df) and "RoundRobin" not in plan(df)
+    sizes = [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 800 and max(sizes) < 400
+    assert dealt_out(spark.read.text(str(tmp_path / "one"))).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
