@@ -24,6 +24,8 @@ def size_metrics(df: DataFrame) -> list[Column]:
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
         size = F.octet_length(field.name) if kind in ("string", "binary") else F.lit(8)
+        if kind == "array<bigint>":
+            size = F.size(field.name) * F.lit(8)
         if kind == "array<string>":
             add = lambda total, value: total + F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(16)
             size = F.aggregate(field.name, F.lit(0), add)

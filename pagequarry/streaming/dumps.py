@@ -15,7 +15,7 @@ from pagequarry.operators.importing import (
     NUMBER_FORM, is_number, is_timestamp, narrowed, number, page_rows, rejected_rows, revision_rows, statistics_columns,
     text_rows,
 )
-from pagequarry.scale import materialise
+from pagequarry.scale import broadcast_if_small, materialise
 from pagequarry.session import drop_scratch, scratch_path
 from pagequarry.sources.dump import PAGE_END, corrupt_pages, parse_pages, well_formed
 
@@ -122,7 +122,8 @@ def start_import(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # The caller's session: a stream's own may have adaptive execution off.
+        spark = raw.sparkSession
         staged = scratch_path(spark, "batch")
         narrowed(batch).withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
         held = spark.read.parquet(staged)
@@ -155,7 +156,7 @@ def _taken(new: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFram
     """
     ids = new.select("_row", number(F.col("id")).alias("page_id"), F.col("revision.id").alias("rev"), F.col("revision.timestamp").alias("at"))
     pages = ids.where(F.col("page_id").isNotNull())
-    known = state if state is not None else new.sparkSession.createDataFrame([], "page_id long, known long")
+    known = state if state is not None else new.sparkSession.range(0).select(F.col("id").alias("page_id"), F.col("id").alias("known"))
     pairs = pages.join(known, "page_id", "left").select(
         "_row", "page_id", "known", F.explode_outer(F.arrays_zip("rev", "at")).alias("r")
     )
@@ -171,12 +172,12 @@ def _taken(new: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFram
         "page_id", "_row", F.array().cast("array<bigint>").alias("_revs"), F.lit(-1).cast("long").alias("greatest"), F.lit(None).cast("long").alias("known")
     )
     newest = F.row_number().over(Window.partitionBy("page_id").orderBy(F.col("greatest").desc(), "_row"))
-    chosen, _ = materialise(rows.unionByName(bare).withColumn("_page", newest == 1))
+    chosen, size = materialise(rows.unionByName(bare).withColumn("_page", newest == 1))
     # Revisions that a check drops stay with the page, which lists them.
     checked = lambda r: r["id"].rlike(NUMBER_FORM) & is_timestamp(r["timestamp"])
     wanted = lambda r: ~F.coalesce(checked(r), F.lit(False)) | F.array_contains("_revs", number(r["id"]))
     texts = F.filter("texts", lambda _, n: wanted(F.get("revision", n)))
-    own = new.join(chosen.select("_row", "_revs", "_page"), "_row")
+    own = new.join(broadcast_if_small(chosen.select("_row", "_revs", "_page"), size), "_row")
     own = own.withColumns({"revision": F.filter("revision", wanted), "texts": texts}).drop("_revs")
     nameless = new.where(~is_number(F.col("id"))).withColumn("_page", F.lit(True))
     taken = own.unionByName(nameless.select(own.columns)).drop("_row")

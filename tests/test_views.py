@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pagequarry.scale import dealt_out, spread
+from pagequarry.scale import dealt_out, size_metrics, spread
 from workload.queries import REGISTRY
 from workload.views import TABLES, VIEWS, Data
 
@@ -41,3 +41,8 @@ def test_dealing_sorts_no_rows_and_keeps_copies_apart(spark, tmp_path):
     sizes = [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(sizes) == 800 and max(sizes) < 400
     assert dealt_out(spark.read.text(str(tmp_path / "one"))).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_lists_of_numbers_are_measured_by_their_length(spark):
+    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(1000)).cast("array<bigint>").alias("a"))
+    assert df.agg(*size_metrics(df)).first()["b"] >= 8000
