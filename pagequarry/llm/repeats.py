@@ -162,11 +162,12 @@ def mark_shard(docs: list[int], firsts: list[int], parts: list[bytes], length: i
     begins = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
     # Pieces of different stretches may hold the same bytes of a document:
     # a position's rank is its place in the documents.
-    own = np.searchsorted(begins, np.arange(len(text)), side="right") - 1
-    within = np.arange(len(text)) - begins[own]
+    index = RunLengthIndex(text)  # before the ranks: the index needs the most memory
     _, number = np.unique(np.array(docs), return_inverse=True)
-    rank = (number[own].astype(np.int64) << 40) + np.array(firsts)[own] + within
-    marked = RunLengthIndex(text).repeats(length, rank)
+    lead = (number.astype(np.int64) << 40) + np.array(firsts) - begins
+    rank = np.repeat(lead, sizes + 1)[: len(text)]
+    rank += np.arange(len(text))
+    marked = index.repeats(length, rank)
     owner = np.searchsorted(begins, marked, side="right") - 1
     inside = marked - begins[owner] + length <= sizes[owner]
     marked, owner = marked[inside], owner[inside]

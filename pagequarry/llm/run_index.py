@@ -8,6 +8,11 @@ import numpy as np
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 
+def _kind(n: int) -> type:
+    """Type of the positions of a text of ``n`` bytes, doubled lengths included."""
+    return np.int32 if n < 1 << 29 else np.int64
+
+
 def _packed(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on, as one comparable integer."""
     key = np.zeros(len(text) + 8, np.uint64)
@@ -22,23 +27,28 @@ def _packed(text: np.ndarray) -> np.ndarray:
 def suffix_order(text: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Suffixes in order, by doubling the compared length where they still tie."""
     n = len(text)
-    order = np.argsort(key[:n])
-    heads = np.concatenate(([True], key[order[1:]] != key[order[:-1]])) if n else np.zeros(0, bool)
-    rank = np.empty(n, np.int64)
-    at = np.arange(n)
-    rank[order] = np.maximum.accumulate(np.where(heads, at, 0))
-    tied = np.flatnonzero(~(heads & np.concatenate((heads[1:], [True])))) if n else at
+    kind = _kind(n)
+    order = np.argsort(key[:n]).astype(kind)
+    sorted_key = key[order]
+    heads = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1])) if n else np.zeros(0, bool)
+    del sorted_key
+    rank = np.empty(n, kind)
+    at = np.arange(n, dtype=kind)
+    rank[order] = np.maximum.accumulate(np.where(heads, at, kind(0)))
+    tied = at[~(heads & np.concatenate((heads[1:], [True])))] if n else at
     length = 8
     while len(tied):
         own = order[tied]
         after = own + length
-        second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        both = (rank[own] << 32) | second
+        both = rank[own].astype(np.int64) << 32
+        both |= np.where(after < n, rank[np.minimum(after, n - 1)] + kind(1), kind(0))
+        del after
         sort = np.argsort(both, kind="stable")
         own, both = own[sort], both[sort]
+        del sort
         order[tied] = own
         fresh = np.concatenate(([True], both[1:] != both[:-1]))
-        rank[own] = tied[np.maximum.accumulate(np.where(fresh, np.arange(len(tied)), 0))]
+        rank[own] = tied[np.maximum.accumulate(np.where(fresh, np.arange(len(tied), dtype=kind), kind(0)))]
         tied = tied[~(fresh & np.concatenate((fresh[1:], [True])))]
         length *= 2
     return order
@@ -63,17 +73,18 @@ class RunLengthIndex:
         top = order[:1]  # the first suffix of all agrees with none before it
         position, previous, agreed = np.append(position, top), np.append(previous, top), np.append(agreed, np.zeros(len(top), np.int64))
         sort = np.argsort(position, kind="stable")
-        self.position, self.previous, self.agreed = position[sort], previous[sort], agreed[sort]
+        kind = _kind(n)
+        self.position, self.previous, self.agreed = (x[sort].astype(kind) for x in (position, previous, agreed))
 
     def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
         """For every position in turn: how long its suffix agrees with the one
         before it in order, and where that one is. Inside a run both follow
         from the position before: one less, and one further."""
-        at = np.arange(self.size)
+        at = np.arange(self.size, dtype=_kind(self.size))
         reach = np.diff(np.append(self.position, self.size))
         if len(reach) and self.position[0] > 0:
             raise ValueError("position 0 is not sampled")
-        sample = np.repeat(np.arange(len(reach)), reach)
+        sample = np.repeat(np.arange(len(reach), dtype=at.dtype), reach)
         past = at - self.position[sample]
         return np.maximum(self.agreed[sample] - past, 0), self.previous[sample] + past
 
@@ -85,7 +96,8 @@ class RunLengthIndex:
         rank = np.arange(self.size) if rank is None else rank
         lengths, partner = self.matching_statistics()
         long = np.flatnonzero(lengths >= least)
-        link = np.arange(self.size)
+        del lengths
+        link = np.arange(self.size, dtype=_kind(self.size))
         link[long] = partner[long]
         while True:
             further = link[link]
