@@ -8,7 +8,8 @@ in the manifest. Readers map the files into memory.
 
 A worker keeps the ids of blank-separated chunks it has met: with this kind of
 vocabulary no token spans white space, so a text's ids are those of its chunks
-in a row. Chunks it meets first go through the library: plain Latin words in
+in a row. Texts are split, and chunks looked up and replaced by their ids, as
+Arrow arrays of many documents; Python sees a chunk when it is new. Chunks it meets first go through the library: plain Latin words in
 strings of many, without the normaliser they don't need; all others whole.
 
 Cases: a null text is empty and yields the end id alone; null doc_ids come
@@ -25,10 +26,10 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from pagequarry.llm.common import batches, held_by_worker, shared_files, write_file
 
 NULL_ID = -(1 << 63)
-CACHED_CHUNKS, CACHED_WORDS = 150_000, 400_000  # in each of two generations of a worker's caches
+CACHED_CHUNKS = 400_000  # of a worker, in Arrow arrays; the later half stays when there are more
+CACHED_WORDS = 200_000  # in each of two generations of a worker's dicts
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _READ = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
@@ -47,9 +49,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: Latin letters that lower-case alike everywhere, then marks of ASCII without
-#: the apostrophe: two tokens' worth of text, whatever stands around.
-_PLAIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-į]+)([!-&(-/:-@\[-`{-~]*)")
+#: Chunks, one in a line, of Latin letters that lower-case alike everywhere, then marks of
+#: ASCII without the apostrophe: two tokens' worth of text, whatever stands around.
+_PLAIN = re.compile(r"^([A-Za-zªµºÀ-ÖØ-öø-į]+)([!-&(-/:-@\[-`{-~]*)$", re.MULTILINE)
+#: Bytes of UTF-8 with the white space that parts chunks made blanks.
+_BLANKS = np.arange(256, dtype=np.uint8)
+_BLANKS[[ord(c) for c in "\n\r\t"]] = ord(" ")
 
 
 class Recent:
@@ -60,15 +65,16 @@ class Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, keys: set[str]) -> list[str]:
+    def missing(self, keys: list[str]) -> list[str]:
         """Keys in neither generation; the others are young afterwards."""
         young, old = self.young, self.old
         missing = []
-        for key in keys.difference(young):
-            if key in old:
-                young[key] = old[key]
-            else:
-                missing.append(key)
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    missing.append(key)
         return missing
 
     def age(self) -> None:
@@ -107,7 +113,8 @@ class ChunkEncoder:
             vocabulary = self.whole.get_vocab(with_added_tokens=False)
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for token, i in vocabulary.items() if token.endswith(self.suffix)]] = True
-        self.chunks, self.known = Recent(chunks), Recent(words)
+        self.limit, self.known = chunks, Recent(words)
+        self.met, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     @property
     def vocabulary_size(self) -> int:
@@ -130,39 +137,70 @@ class ChunkEncoder:
         return out
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        plain = [m for m in map(_PLAIN.fullmatch, chunks) if m]
-        whole = [m.string for m in plain]
-        words = [m[1].lower() for m in plain]
-        marks = [m[2] for m in plain]
-        new = self.known.missing({*words, *marks})
+        """Ids of chunks without line breaks."""
+        plain = _PLAIN.findall("\n".join(chunks))
+        words = "\n".join([w for w, _ in plain]).lower().split("\n") if plain else []
+        new = self.known.missing(list({*words, *(m for _, m in plain)}))
         known = self.known.young
         known[""] = b""
         new = [w for w in new if w]
         known.update(zip(new, self._word_ids(new)))
-        learnt = {c: known[w] + known[m] for c, w, m in zip(whole, words, marks)}
+        learnt = {w + m: known[low] + known[m] for (w, m), low in zip(plain, words)}
         self.known.age()
-        rest = [c for c in chunks if c not in learnt]
-        learnt.update(zip(rest, self._ids(rest)))
+        if len(learnt) < len(chunks):
+            rest = [c for c in chunks if c not in learnt]
+            learnt.update(zip(rest, self._ids(rest)))
         return learnt
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.StringArray) -> list[bytes]:
+        """Ids of each text; a null is an empty text."""
         if not self.by_chunk:
-            return self._ids(texts)
+            return self._ids([t or "" for t in (texts if isinstance(texts, list) else texts.to_pylist())])
         gc.disable()  # strings and bytes only, nothing that could form a cycle
         try:
-            return self._encode(texts)
+            return self._encode(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: pa.StringArray) -> list[bytes]:
         # Other white space than these stays inside a chunk, for the library.
-        split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-        known = self.chunks.young
-        known[""] = b""
-        known.update(self._learn(self.chunks.missing(set(chain.from_iterable(split)))))
-        found = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        self.chunks.age()
-        return found
+        texts = texts.cast(pa.string()).fill_null("")
+        if not len(texts):
+            return []
+        _, places, data = texts.buffers()
+        places = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = _BLANKS[np.frombuffer(data or b"", np.uint8)[places[0] : places[-1]]]
+        split = pc.split_pattern(pa.StringArray.from_buffers(len(texts), pa.py_buffer(places - places[0]), pa.py_buffer(data)), " ")
+        chunks = split.flatten()
+        at = pc.index_in(chunks, value_set=self.met)
+        if at.null_count:
+            unmet = at.is_null()
+            again = chunks.filter(unmet)
+            new = again.unique()
+            names = new.to_pylist()
+            learnt = self._learn(names)
+            at = pc.replace_with_mask(at, unmet, pc.add(pc.index_in(again, value_set=new), pa.scalar(len(self.met), pa.int32())))
+            self.met = pa.concat_arrays([self.met, new])
+            self.ids = pa.concat_arrays([self.ids, pa.array([learnt[c] for c in names], pa.large_binary())])
+        _, ends, raw = self.ids.take(at).buffers()
+        if len(self.met) > self.limit:  # the later half stays, in buffers of its own
+            late = pa.array(np.arange(len(self.met) - self.limit // 2, len(self.met)))
+            self.met, self.ids = self.met.take(late), self.ids.take(late)
+        firsts = split.offsets.to_numpy()
+        ends = np.frombuffer(ends, np.int64)[firsts - firsts[0]].tolist()
+        raw = raw.to_pybytes() if raw else b""
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def pieces(batch: pa.RecordBatch, rows: int = 1000, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``rows`` rows, or about ``limit`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch["text"]).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = ends[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + limit, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 _KIND = object()  # one for each worker process
@@ -190,10 +228,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
 
         def encoded() -> Iterator[bytes]:
             for batch in stream:
-                for at in range(0, len(batch), 500):
-                    piece = batch.slice(at, 500)
+                for piece in pieces(batch):
                     ids.extend(NULL_ID if i is None else i for i in piece["doc_id"].to_pylist())
-                    raws = [r + end for r in own.encode([t or "" for t in piece["text"].to_pylist()])]
+                    raws = [r + end for r in own.encode(piece["text"])]
                     lengths.extend(len(r) // 4 for r in raws)
                     yield np.frombuffer(b"".join(raws), "<u4").astype(kind).tobytes()
 

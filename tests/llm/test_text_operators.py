@@ -89,6 +89,26 @@ def test_token_files_round_trip(spark, documents):
         assert r.ids_crc32 in {zlib.crc32(np.array(i, "<u4").tobytes()) for i in ids}
 
 
+def test_chunks_keep_their_ids_when_forgotten():
+    """Small caches, slices of a batch, nulls and odd white space give the library's ids."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    words = [f"w{i}or{i % 7}" + "!?"[i % 2] for i in range(300)]
+    texts = [" ".join(words[i : i + 40]) for i in range(0, 300, 15)]
+    texts += [None, "", "a\tb\nc\r\nd  e", "x\u00a0y \u2003 z\x0bq", "Été İstanbul 東京 a\u0301 [UNK]", texts[0]]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    encoder = token_files.ChunkEncoder(token_files.tokenizer_path(), chunks=20, words=20)
+    library = Tokenizer.from_file(token_files.tokenizer_path())
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for rows, limit in ((3, 1 << 20), (100, 500), (1, 1)):
+        pieces = list(token_files.pieces(batch, rows, limit))
+        assert [t for p in pieces for t in p["text"].to_pylist()] == texts
+        got = [r for p in pieces for r in encoder.encode(p["text"])]
+        assert [[int(i) for i in memoryview(r).cast("I")] for r in got] == want
+        assert len(encoder.met) <= 20
+
+
 def test_token_files_of_no_documents(spark, documents):
     path = scratch_path(spark, "t")
     token_files.write_token_files(documents(DOCS).limit(0), path)
