@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.llm.common import stage, staged
+from pagequarry.llm.url_rules import filter_size, filter_words, may_hold
 from pagequarry.scale import BROADCAST_ROWS
 from pagequarry.session import drop_scratch
 
@@ -48,7 +49,9 @@ MIN_TOKENS = 2  # of different sets that can be alike
 
 
 def tokens(line: str = "line") -> Column:
-    return F.array_distinct(F.array_remove(F.split(F.translate(F.col(line), "\t\r", "  "), " "), ""))
+    blank = F.lit(" ")
+    blanked = F.replace(F.replace(F.col(line), F.lit("\t"), blank), F.lit("\r"), blank)  # translate goes by single characters
+    return F.array_distinct(F.array_remove(F.split(blanked, " "), ""))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -141,19 +144,28 @@ def _alike(pairs: DataFrame, firsts: DataFrame, share: int) -> DataFrame:
     """``(number,)``, stored: each ``two`` whose whole set is like that of a ``one``."""
     spark = firsts.sparkSession
     pairs, pairs_folder = staged(pairs, "pairs")
-    ids = pairs.select(F.col("one").alias("number")).union(pairs.select("two")).distinct()
-    sets, sets_folder = staged(firsts.join(ids.hint("merge"), "number", "left_semi").select("number", tokens().alias("tokens")), "sets")
+    ids, ids_folder = staged(pairs.select(F.col("one").alias("number")).union(pairs.select("two")).distinct(), "ids")
+    asked = _possibly(firsts, ids).join(ids.hint("merge"), "number", "left_semi")
+    sets, sets_folder = staged(asked.select("number", tokens().alias("tokens")), "sets")
     one = sets.select(F.col("number").alias("one"), F.col("tokens").alias("t1"))
     two = sets.select(F.col("number").alias("two"), F.col("tokens").alias("t2"))
     joined = pairs.join(one.hint("merge"), "one").join(two.hint("merge"), "two")
     shared = F.size(F.array_intersect("t1", "t2"))
     alike = joined.where(shared * 100 >= (F.size("t1") + F.size("t2") - shared) * share)
     found = stage(alike.select(F.col("two").alias("number")).distinct(), "settled")
-    drop_scratch(spark, pairs_folder)
-    drop_scratch(spark, sets_folder)
+    for folder in (pairs_folder, ids_folder, sets_folder):
+        drop_scratch(spark, folder)
     return found
 
 
+def _possibly(firsts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``firsts`` without most lines that are not in ``ids(number)``, by a blocked
+    Bloom filter of bounded size, so that their texts are not shuffled."""
+    words = filter_size(ids.count())
+    bloom = filter_words(ids.select(F.col("number").alias("key")), words).scalar()
+    return firsts.where(may_hold(bloom, F.col("number"), words))
+
+
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, line_no, mark, removed)`` of every line; ``mark`` is a hash of it."""
     keyed = keyed_lines(split_lines(docs))

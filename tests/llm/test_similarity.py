@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagequarry.llm import cover_tree, lines, minmax
 from pagequarry.llm.components import components
@@ -197,6 +198,16 @@ def test_lines_settled_in_rounds(documents, rows, monkeypatch, rounds):
     assert got == plain_lines(docs)
 
 
+def test_texts_of_lines_without_candidates_are_not_shuffled(spark):
+    """The filter keeps every line asked for, and few others."""
+    firsts = spark.range(20000).select(F.col("id").alias("number"), F.lit("a b c d e").alias("line"))
+    ids = firsts.where("number % 100 = 0").select("number")
+    kept = {r.number for r in lines._possibly(firsts, ids).collect()}
+    assert kept >= set(range(0, 20000, 100))
+    assert len(kept) < 1000
+    assert lines._possibly(firsts, ids.limit(0)).count() == 0
+
+
 def test_a_large_group_of_like_lines(documents, rows, monkeypatch):
     """Five thousand lines like the first: pairs verified grow with the group, not with its square."""
     base = [f"b{n}" for n in range(30)]
