@@ -63,15 +63,15 @@ def small_batches(stream: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterato
             yield batch.slice(at, rows)
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def staged(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet to a new folder in the shared place and read
-    back, and that folder, which ``drop_scratch`` deletes.
+    back, and that folder, which ``drop_scratch`` deletes. ``options`` are the writer's.
 
     Cuts the lineage: a lost executor costs a read of these files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

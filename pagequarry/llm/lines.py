@@ -6,29 +6,32 @@ like an earlier one (smaller doc_id, or the same document and a smaller number)
 is removed.
 
 Lines with equal sets form a class, and all but the first are removed at once.
-For the classes, tokens are put in one global order from rare to frequent; alike
-sets must share two tokens among their first ``n - ceil(threshold n) + 2``.
-(Different sets that are alike have two tokens in common at least: the threshold
-is above a half.)
-
-A class goes as soon as one earlier class is like it. So first, every class is
-held only against the earliest open class of each of its prefix tokens, if it
-meets that one twice: at most one candidate for two tokens. Classes found alike
-are settled and look no further, and the next round takes the earliest of those
-left, while rounds settle many. What is still open is joined by token with *all*
-earlier classes, settled ones too, with the length filter and the positional
-bound on the overlap as join conditions. Pairs met twice are verified on the
-whole sets. So a group of like lines costs its size, not its square; the rounds
-only save work, and the last join makes the result exact.
-
-Rarity is counted over all lines in ``COUNTERS`` hashed counters, a table of
-fixed size that goes to every task: any one order keeps the join exact, and a
-token's counter can only make it look more frequent.
+For the classes, tokens are put in one global order, long words first, as these
+are seldom met; any one order keeps the join exact. Of two alike sets with ``d``
+tokens in only one of them, each such token parts at most one pair of shared
+tokens that are neighbours in the order; so one of the first ``d + 1`` such
+pairs (the end counts as a last token) is a pair of neighbours in both sets. In
+a set of ``n`` tokens it is among the first ``2 (n - threshold n) + 1`` pairs of
+neighbours, whose hashes are the set's entries: few entries meet by chance.
+
+Entries of a single class are dropped by one aggregation. A class goes as soon
+as one earlier class is like it. So first, every class is held only against the
+earliest open class of each of its entries. Classes found alike are settled and
+look no further, and the next round takes the earliest of those left, while
+rounds settle many. What is still open is joined by entry with *all* earlier
+classes, settled ones too. Join conditions are the length filter and a bound on
+``d``: tokens flip bits of a 64-bit word, and words of alike sets differ in at
+most ``d`` bits. Pairs that pass are verified on the whole sets. So a group of
+like lines costs its size, not its square; the rounds only save work, and the
+last join makes the result exact.
+
+Lines are tokenised once, when they are written with numbers in the order of
+their places; what follows reads hashes, and the texts of lines in pairs to verify.
 
 Cases: null and empty texts have one empty line; lines without tokens are kept;
-lines of rows with one doc_id are ordered by number and then by text; a null
-doc_id comes first; an empty table gives an empty result; other columns are not
-read.
+lines of rows with one doc_id are ordered by number and then by text, and equal
+ones are one line; a null doc_id comes first; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.llm.common import stage, staged
+from pagequarry.llm.common import staged
 from pagequarry.llm.url_rules import filter_size, filter_words, may_hold
 from pagequarry.scale import BROADCAST_ROWS
 from pagequarry.session import drop_scratch
@@ -44,14 +47,31 @@ from pagequarry.session import drop_scratch
 THRESHOLD = 0.8
 ROUNDS = 1  # at most, of settling before the full join
 WORTHWHILE = 0.1  # a round that settles less than this share of the first is the last
-COUNTERS = 1 << 16
-MIN_TOKENS = 2  # of different sets that can be alike
+ID_RANGE = 1 << 32
+PLAIN = {"parquet.enable.dictionary": "false"}  # most columns are hashes
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def tokens(line: str = "line") -> Column:
+def _staged(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
+    """As :func:`staged`; the shuffle files of the write go with it, not when the
+    driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREED, None)
+    conf.set(FREED, "true")
+    try:
+        return staged(df, name, **options)
+    finally:
+        conf.unset(FREED) if before is None else conf.set(FREED, before)
+
+
+def words(line: str = "line") -> Column:
     blank = F.lit(" ")
     blanked = F.replace(F.replace(F.col(line), F.lit("\t"), blank), F.lit("\r"), blank)  # translate goes by single characters
-    return F.array_distinct(F.array_remove(F.split(blanked, " "), ""))
+    return F.split(blanked, " ")
+
+
+def tokens(line: str = "line") -> Column:
+    return F.array_distinct(F.array_remove(words(line), ""))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -60,78 +80,78 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def keyed_lines(lines: DataFrame) -> DataFrame:
-    """``(doc_id, line_no, line, k1, k2)``; the keys tell token sets apart by two
-    64-bit hashes of their sorted hashes, and are null without tokens."""
-    ordered = lines.withColumn("set", F.sort_array(F.transform(tokens(), lambda t: F.xxhash64(t))))
-    some = F.size("set") > 0
-    return ordered.select(
-        "doc_id", "line_no", "line",
-        F.when(some, F.xxhash64("set")).alias("k1"), F.when(some, F.xxhash64(F.lit("second"), "set")).alias("k2"),
+def keyed_lines(lines: DataFrame, share: int) -> DataFrame:
+    """``lines`` with ``(n, k1, k2, entries, bits)``. The keys tell token sets apart
+    by two 64-bit hashes of their sorted hashes, and are null without tokens; sets
+    too small for a different one to be alike have no entries."""
+    # The length in front of the hash, so that its order is from long to short.
+    ranked = lambda t: F.shiftleft((F.lit(31) - F.least(F.octet_length(t), F.lit(31))).cast("long"), 58).bitwiseOR(F.shiftrightunsigned(F.xxhash64(t), 6))
+    ids = F.sort_array(F.array_distinct(F.array_remove(F.transform(words(), ranked), ranked(F.lit("")))))
+    lines = lines.withColumn("ids", ids).withColumn("n", F.size("ids"))
+    n = F.col("n")
+    pair = lambda t, i: F.xxhash64(t, F.get("ids", i + 1))
+    entries = F.transform(F.slice("ids", F.lit(1), F.floor(n * 2 * (100 - share) / F.lit(100)).cast("int") + 1), pair)
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+    bits = F.aggregate("ids", F.lit(0).cast("long"), lambda held, t: held.bitwiseXOR(bit(t)))
+    some, enough = n > 0, n * (100 - share) >= share
+    return lines.select(
+        *(c for c in lines.columns if c not in ("ids", "n", "line")), n,
+        F.when(some, F.xxhash64("ids")).alias("k1"), F.when(some, F.xxhash64(F.lit("second"), "ids")).alias("k2"),
+        F.when(enough, entries).alias("entries"), F.when(enough, bits).alias("bits"), "line",
     )
 
 
-def _ceil(amount: Column, share: int, of: int) -> Column:
-    """ceil(amount * share / of) in whole numbers."""
-    return F.floor((amount * share + (of - 1)) / F.lit(of)).cast("int")
-
-
-def rarity(firsts: DataFrame) -> bytes:
-    """One byte below 128 for each counter: fourths of the binary logarithm of
-    how many tokens fell to it. Of fixed size whatever the lines."""
-    token = firsts.select(F.explode(tokens()).alias("token"))
-    counted = token.groupBy(F.pmod(F.xxhash64("token"), F.lit(COUNTERS)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    levels = counted.select("c", F.least(F.round(4 * F.log2("n")), F.lit(126.0)).cast("int").alias("level")).collect()
-    table = bytearray(COUNTERS)
-    for row in levels:
-        table[row["c"]] = row["level"] + 1
-    return bytes(table)
-
-
-def similar_classes(firsts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(number,)`` of classes with a different, earlier class that is alike,
-    of ``firsts(number, line)``, numbered in the order of their places."""
-    share = round(100 * threshold)
-    if share <= 50:
-        raise ValueError("the threshold must be above a half")
-    levels = F.lit(rarity(firsts))
-    level = lambda h: F.ascii(F.substring(levels, (F.pmod(h, F.lit(COUNTERS)) + 1).cast("int"), 1).cast("string"))
-    # Level and hash in one number, so that its order is from rare to frequent.
-    entry = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    hashes = F.transform(tokens(), lambda t: F.xxhash64(t))
-    n = F.size("sorted")
-    # One more than alike sets need to share a token: they then share two.
-    prefix = F.slice("sorted", F.lit(1), n - _ceil(n, share, 100) + 2)
-    heads = firsts.select("number", hashes.alias("hashes")).select("number", F.sort_array(F.transform("hashes", entry)).alias("sorted"))
-    heads = heads.where(n >= MIN_TOKENS).select("number", n.alias("n"), F.posexplode(prefix).alias("at", "token"))
-    heads, folder = staged(heads, "heads")
+def similar_classes(firsts: DataFrame, share: int) -> DataFrame:
+    """``(number,)`` of classes with a different, earlier class that is alike, of
+    ``firsts(number, n, entries, bits, line)``, numbered in the order of their places."""
+    spark = firsts.sparkSession
+    heads, folder = _shared_entries(firsts)
     found, still_open = [], heads
     for _ in range(ROUNDS):
-        pivots = still_open.groupBy("token").agg(F.min("number").alias("one"))
-        met = still_open.select("token", F.col("number").alias("two")).join(pivots.hint("merge"), "token").where("two > one")
-        settled = _alike(_met_twice(met), firsts, share)
+        pivots = still_open.where("number = one")
+        pairs, pairs_folder = _staged(_met(pivots, still_open, share), "pairs")
+        settled = _alike(pairs, firsts, share)
+        drop_scratch(spark, pairs_folder)
         found.append((settled, settled.count()))
         still_open = _without(still_open, *found[-1])
         if found[-1][1] <= WORTHWHILE * found[0][1]:
             break
-    x, y = heads.alias("x"), still_open.alias("y")
-    fits = (
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.number") < F.col("y.number"))
-        # Lengths, then what can be shared: a token before, and those from its place on.
-        & (F.col("x.n") * 100 >= F.col("y.n") * share) & (F.col("y.n") * 100 >= F.col("x.n") * share)
-        & (F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + 1 >= _ceil(F.col("x.n") + F.col("y.n"), share, 100 + share))
-    )
-    met = x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two"))
-    later = _alike(_met_twice(met), firsts, share)
-    drop_scratch(firsts.sparkSession, folder)
+        earliest = still_open.groupBy("entry").agg(F.min("number").alias("one"))
+        still_open = still_open.drop("one").join(earliest.hint("merge"), "entry")
+    pairs, pairs_folder = _staged(_met(heads, still_open, share), "pairs")
+    drop_scratch(spark, folder)
+    later = _alike(pairs, firsts, share)
+    drop_scratch(spark, pairs_folder)
     # A class is settled once, and not met in the last join again.
     for settled, _ in found:
         later = later.unionByName(settled)
     return later
 
 
-def _met_twice(met: DataFrame) -> DataFrame:
-    return met.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two")
+def _shared_entries(firsts: DataFrame) -> tuple[DataFrame, str]:
+    """``(entry, number, n, bits, one)``, stored, and its folder: the entries met
+    in two classes at least, with the earliest of these."""
+    entries = firsts.select("number", F.explode("entries").alias("entry"))
+    shared = entries.groupBy("entry").agg(F.min("number").alias("one"), F.count(F.lit(1)).alias("met")).where("met > 1")
+    shared, shared_folder = _staged(shared.select("entry", "one"), "shared")
+    words_ = filter_size(shared.count())
+    bloom = filter_words(shared.select(F.col("entry").alias("key")), words_).scalar()
+    again = firsts.select("number", "n", "bits", F.explode("entries").alias("entry")).where(may_hold(bloom, F.col("entry"), words_))
+    heads, folder = _staged(again.join(shared.hint("merge"), "entry"), "heads")
+    drop_scratch(firsts.sparkSession, shared_folder)
+    return heads, folder
+
+
+def _met(earlier: DataFrame, still_open: DataFrame, share: int) -> DataFrame:
+    """Pairs ``(one, two)`` that share an entry and may be alike by their sizes and bits."""
+    x, y = earlier.alias("x"), still_open.alias("y")
+    shorter, longer = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    differing = F.floor((F.col("x.n") + F.col("y.n")) * (100 - share) / F.lit(100 + share))
+    fits = (
+        (F.col("x.entry") == F.col("y.entry")) & (F.col("x.number") < F.col("y.number")) & (shorter * 100 >= longer * share)
+        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= differing)
+    )
+    return x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two")).distinct()
 
 
 def _without(heads: DataFrame, settled: DataFrame, count: int) -> DataFrame:
@@ -141,20 +161,16 @@ def _without(heads: DataFrame, settled: DataFrame, count: int) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, firsts: DataFrame, share: int) -> DataFrame:
-    """``(number,)``, stored: each ``two`` whose whole set is like that of a ``one``."""
-    spark = firsts.sparkSession
-    pairs, pairs_folder = staged(pairs, "pairs")
-    ids, ids_folder = staged(pairs.select(F.col("one").alias("number")).union(pairs.select("two")).distinct(), "ids")
-    asked = _possibly(firsts, ids).join(ids.hint("merge"), "number", "left_semi")
-    sets, sets_folder = staged(asked.select("number", tokens().alias("tokens")), "sets")
-    one = sets.select(F.col("number").alias("one"), F.col("tokens").alias("t1"))
-    two = sets.select(F.col("number").alias("two"), F.col("tokens").alias("t2"))
+    """``(number,)``, stored: each ``two`` of stored pairs whose whole set is like that of its ``one``."""
+    ids = pairs.select(F.col("one").alias("number")).union(pairs.select("two"))
+    asked, asked_folder = _staged(_possibly(firsts, ids).select("number", "n", "line"), "asked")
+    one = asked.select(F.col("number").alias("one"), F.col("n").alias("n1"), F.col("line").alias("line1"))
+    two = asked.select(F.col("number").alias("two"), F.col("n").alias("n2"), F.col("line").alias("line2"))
     joined = pairs.join(one.hint("merge"), "one").join(two.hint("merge"), "two")
-    shared = F.size(F.array_intersect("t1", "t2"))
-    alike = joined.where(shared * 100 >= (F.size("t1") + F.size("t2") - shared) * share)
-    found = stage(alike.select(F.col("two").alias("number")).distinct(), "settled")
-    for folder in (pairs_folder, ids_folder, sets_folder):
-        drop_scratch(spark, folder)
+    shared = F.size(F.array_remove(F.array_intersect(words("line1"), words("line2")), ""))
+    alike = joined.where(shared * (100 + share) >= (F.col("n1") + F.col("n2")) * share)
+    found = _staged(alike.select(F.col("two").alias("number")).distinct(), "settled")[0]
+    drop_scratch(firsts.sparkSession, asked_folder)
     return found
 
 
@@ -166,20 +182,37 @@ def _possibly(firsts: DataFrame, ids: DataFrame) -> DataFrame:
     return firsts.where(may_hold(bloom, F.col("number"), words))
 
 
+def numbered(placed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``placed(doc_id, line_no, mark, ...)`` with a ``number`` in the order of the
+    places. Distinct ids of a range below ``ID_RANGE`` make it with the line's
+    number, which has 31 bits; of others the lines are sorted, and ids grow along them."""
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("rows"))
+    seen = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("rows").alias("rows"), F.count_if(F.col("id").isNull()).alias("nulls")).first()
+    if seen["rows"] == 1 and not seen["nulls"] and seen["high"] - seen["low"] < ID_RANGE:
+        return placed.withColumn("number", F.shiftleft(F.col("doc_id") - seen["low"], 31).bitwiseOR(F.col("line_no").cast("long")))
+    return placed.orderBy("doc_id", "line_no", "mark").withColumn("number", F.monotonically_increasing_id())
+
+
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, line_no, mark, removed)`` of every line; ``mark`` is a hash of it."""
-    keyed = keyed_lines(split_lines(docs))
-    place = F.struct("doc_id", "line_no", F.xxhash64("line").alias("mark"))
-    firsts = keyed.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(place.alias("place"), F.col("line"))).alias("first"))
-    # Numbers in the order of the places: ids grow along a sorted table.
-    firsts = firsts.select("k1", "k2", "first.place", "first.line").orderBy("place")
-    firsts = stage(firsts.select(F.monotonically_increasing_id().alias("number"), "k1", "k2", "place", "line"), "firsts")
-    later = similar_classes(firsts, threshold).withColumn("alike", F.lit(True))
-    classes = firsts.select("number", "k1", "k2", "place").join(later.hint("merge"), "number", "left").drop("number")
-    narrow = keyed.select("doc_id", "line_no", "k1", "k2", place.alias("own"))
-    both = narrow.join(classes.hint("merge"), ["k1", "k2"], "left")
-    removed = F.coalesce(F.col("alike"), F.lit(False)) | F.coalesce(F.col("own") != F.col("place"), F.lit(False))
-    return both.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.col("own.mark").alias("mark"), removed.alias("removed"))
+    share = round(100 * threshold)
+    if share <= 50:
+        raise ValueError("the threshold must be above a half")
+    placed = numbered(split_lines(docs).withColumn("mark", F.xxhash64("line")), docs)
+    lines, _ = _staged(keyed_lines(placed, share), "lines", **PLAIN)
+    classes = lines.where("k1 is not null").groupBy("k1", "k2").agg(F.min("number").alias("one"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    places = lines.select("number", "k1", "k2", F.struct("doc_id", "line_no", "mark").alias("place"))
+    members, members_folder = _staged(places.join(classes.hint("merge"), ["k1", "k2"]).select("number", "one", "place"), "members")
+    first = members.where("number = one").select("one", F.col("place").alias("first"))
+    copies = members.where("number > one").join(first.hint("merge"), "one")
+    copies, _ = _staged(copies.select("number", "one", (F.col("place") == F.col("first")).alias("twin")), "copies")
+    drop_scratch(docs.sparkSession, members_folder)
+    later = similar_classes(_without(lines, copies.select("number"), copies.count()), share)
+    # Equal lines of one place stay or go with the first.
+    twins = copies.where("twin").join(later.withColumnRenamed("number", "one").hint("merge"), "one").select("number")
+    gone = copies.where("not twin").select("number").union(later).union(twins).withColumn("gone", F.lit(True))
+    both = lines.select("number", "doc_id", "line_no", "mark").join(gone.hint("merge"), "number", "left")
+    return both.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "mark", F.coalesce("gone", F.lit(False)).alias("removed"))
 
 
 def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

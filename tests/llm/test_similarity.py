@@ -221,5 +221,45 @@ def test_a_large_group_of_like_lines(documents, rows, monkeypatch):
     assert sum(verified) <= 4 * len(docs), verified
 
 
+def test_lines_of_common_words_rarely_meet(documents, rows, monkeypatch):
+    """Unlike lines of a small vocabulary share many words, and few are verified."""
+    random = np.random.default_rng(6)
+    docs = [(n, " ".join(f"w{w}" for w in random.choice(200, 25, replace=False))) for n in range(1500)]
+    verified = []
+    plain = lines._alike
+    monkeypatch.setattr(lines, "_alike", lambda pairs, *more: (verified.append(pairs.count()), plain(pairs, *more))[1])
+    got = rows(lines.removed_lines(documents(docs)).select("doc_id", "line_no", "removed"))
+    assert got == plain_lines(docs)
+    assert sum(verified) < 20, verified
+
+
+@pytest.mark.parametrize("share", [51, 60, 66, 67, 75, 80, 95])
+def test_alike_lines_share_an_entry(spark, share):
+    """Every pair of alike sets has a common entry, at any threshold."""
+    random = np.random.default_rng(share)
+    texts = []
+    for n in range(300):
+        base = [f"{'x' * int(random.integers(1, 9))}{w}" for w in range(int(random.integers(1, 30)))]
+        texts.append(" ".join(base))
+        own = [w for w in base if random.random() > 0.15] + [f"{'y' * int(random.integers(1, 9))}{w}" for w in range(int(random.integers(0, 5)))]
+        texts.append(" ".join(own))
+    found = lines.keyed_lines(spark.createDataFrame(list(enumerate(texts)), "number long, line string"), share).orderBy("number").collect()
+    for a, b in zip(found[::2], found[1::2]):
+        one, two = set(a.line.split()), set(b.line.split())
+        if one != two and 100 * len(one & two) >= share * len(one | two):
+            assert set(a.entries) & set(b.entries), (a, b)
+            assert ((a.bits ^ b.bits) & (1 << 64) - 1).bit_count() <= (a.n + b.n) * (100 - share) // (100 + share)
+
+
+def test_lines_of_sparse_and_repeated_ids(documents, rows):
+    """Ids too far apart for numbers made of them, and ids of two rows."""
+    text = "a b c d e f"
+    for ids in ([-(1 << 63), -5, (1 << 63) - 1], [7, 3, 7], [-3, -1, -2]):
+        docs = [(n, f"{at} {text}\n{text} {text}\n{text} z") for at, n in enumerate(ids)]
+        got = rows(lines.removed_lines(documents(docs)).select("doc_id", "line_no", "removed"))
+        assert [r for r in got if r[0] != 7] == [r for r in plain_lines(docs) if r[0] != 7]
+        assert len(got) == 9
+
+
 def test_lines_of_no_documents(documents):
     assert lines.removed_lines(documents([(1, "a")]).limit(0)).collect() == []
