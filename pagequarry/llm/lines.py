@@ -20,8 +20,8 @@ earliest open class of each of its entries. Classes found alike are settled and
 look no further, and the next round takes the earliest of those left, while
 rounds settle many. What is still open is joined by entry with *all* earlier
 classes, settled ones too. Join conditions are the length filter and a bound on
-``d``: tokens flip bits of a 64-bit word, and words of alike sets differ in at
-most ``d`` bits. Pairs that pass are verified on the whole sets. So a group of
+``d``: tokens flip bits of a 64-bit word (of long sets, of two), and words of alike
+sets differ in at most ``d`` bits. Pairs that pass are verified on the whole sets. So a group of
 like lines costs its size, not its square; the rounds only save work, and the
 last join makes the result exact.
 
@@ -47,6 +47,7 @@ from pagequarry.session import drop_scratch
 THRESHOLD = 0.8
 ROUNDS = 1  # at most, of settling before the full join
 WORTHWHILE = 0.1  # a round that settles less than this share of the first is the last
+LONG = 64  # tokens: sets above it flip bits of two words
 ID_RANGE = 1 << 32
 PLAIN = {"parquet.enable.dictionary": "false"}  # most columns are hashes
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -81,9 +82,10 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def keyed_lines(lines: DataFrame, share: int) -> DataFrame:
-    """``lines`` with ``(n, k1, k2, entries, bits)``. The keys tell token sets apart
+    """``lines`` with ``(n, k1, k2, entries, bits, odd_bits)``. The keys tell token sets apart
     by two 64-bit hashes of their sorted hashes, and are null without tokens; sets
-    too small for a different one to be alike have no entries."""
+    too small for a different one to be alike have no entries. ``odd_bits`` are
+    the flips of half the tokens, of sets above ``LONG``."""
     # The length in front of the hash, so that its order is from long to short.
     ranked = lambda t: F.shiftleft((F.lit(31) - F.least(F.octet_length(t), F.lit(31))).cast("long"), 58).bitwiseOR(F.shiftrightunsigned(F.xxhash64(t), 6))
     ids = F.sort_array(F.array_distinct(F.array_remove(F.transform(words(), ranked), ranked(F.lit("")))))
@@ -92,18 +94,21 @@ def keyed_lines(lines: DataFrame, share: int) -> DataFrame:
     pair = lambda t, i: F.xxhash64(t, F.get("ids", i + 1))
     entries = F.transform(F.slice("ids", F.lit(1), F.floor(n * 2 * (100 - share) / F.lit(100)).cast("int") + 1), pair)
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-    bits = F.aggregate("ids", F.lit(0).cast("long"), lambda held, t: held.bitwiseXOR(bit(t)))
+    none, odd = F.lit(0).cast("long"), lambda t: t.bitwiseAND(F.lit(64)) != 0
+    bits = F.aggregate("ids", none, lambda held, t: held.bitwiseXOR(bit(t)))
+    odd_bits = F.aggregate("ids", none, lambda held, t: F.when(odd(t), held.bitwiseXOR(bit(t))).otherwise(held))
     some, enough = n > 0, n * (100 - share) >= share
     return lines.select(
         *(c for c in lines.columns if c not in ("ids", "n", "line")), n,
         F.when(some, F.xxhash64("ids")).alias("k1"), F.when(some, F.xxhash64(F.lit("second"), "ids")).alias("k2"),
-        F.when(enough, entries).alias("entries"), F.when(enough, bits).alias("bits"), "line",
+        F.when(enough, entries).alias("entries"), F.when(enough, bits).alias("bits"),
+        F.when(enough & (n > LONG), odd_bits).alias("odd_bits"), "line",
     )
 
 
 def similar_classes(firsts: DataFrame, share: int) -> DataFrame:
     """``(number,)`` of classes with a different, earlier class that is alike, of
-    ``firsts(number, n, entries, bits, line)``, numbered in the order of their places."""
+    ``firsts(number, n, entries, bits, odd_bits, line)``, numbered in the order of their places."""
     spark = firsts.sparkSession
     heads, folder = _shared_entries(firsts)
     found, still_open = [], heads
@@ -129,14 +134,14 @@ def similar_classes(firsts: DataFrame, share: int) -> DataFrame:
 
 
 def _shared_entries(firsts: DataFrame) -> tuple[DataFrame, str]:
-    """``(entry, number, n, bits, one)``, stored, and its folder: the entries met
+    """``(entry, number, n, bits, odd_bits, one)``, stored, and its folder: the entries met
     in two classes at least, with the earliest of these."""
     entries = firsts.select("number", F.explode("entries").alias("entry"))
     shared = entries.groupBy("entry").agg(F.min("number").alias("one"), F.count(F.lit(1)).alias("met")).where("met > 1")
     shared, shared_folder = _staged(shared.select("entry", "one"), "shared")
     words_ = filter_size(shared.count())
     bloom = filter_words(shared.select(F.col("entry").alias("key")), words_).scalar()
-    again = firsts.select("number", "n", "bits", F.explode("entries").alias("entry")).where(may_hold(bloom, F.col("entry"), words_))
+    again = firsts.select("number", "n", "bits", "odd_bits", F.explode("entries").alias("entry")).where(may_hold(bloom, F.col("entry"), words_))
     heads, folder = _staged(again.join(shared.hint("merge"), "entry"), "heads")
     drop_scratch(firsts.sparkSession, shared_folder)
     return heads, folder
@@ -147,9 +152,12 @@ def _met(earlier: DataFrame, still_open: DataFrame, share: int) -> DataFrame:
     x, y = earlier.alias("x"), still_open.alias("y")
     shorter, longer = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     differing = F.floor((F.col("x.n") + F.col("y.n")) * (100 - share) / F.lit(100 + share))
+    unlike = lambda c: F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))
+    odd = unlike("odd_bits")  # null unless both sets are long
+    flipped = F.coalesce(F.bit_count(odd) + F.bit_count(unlike("bits").bitwiseXOR(odd)), F.bit_count(unlike("bits")))
     fits = (
         (F.col("x.entry") == F.col("y.entry")) & (F.col("x.number") < F.col("y.number")) & (shorter * 100 >= longer * share)
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= differing)
+        & (flipped <= differing)
     )
     return x.join(y.hint("merge"), fits).select(F.col("x.number").alias("one"), F.col("y.number").alias("two")).distinct()
 
